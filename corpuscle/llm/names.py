@@ -18,6 +18,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations
 from math import log
 
@@ -104,11 +105,16 @@ def read_organisation(surface: str) -> list[str]:
     return kept
 
 
+@lru_cache(100_000)
 def may_anchor(word: str) -> bool:
-    """Whether a word looks like a proper word in full: no kind, no abbreviation, no acronym."""
-    vowels = sum(c in "aeiouy" for c in word)
-    latin = word.isascii()
-    return not word.endswith(".") and word not in KINDS and (not latin or (len(word) >= 4 and vowels >= 2))
+    """Whether a word looks like a proper word in full: no kind (mistyped or cut short either), no abbreviation, no acronym."""
+    if word.endswith(".") or word in KINDS:
+        return False
+    if not word.isascii():
+        return True
+    if len(word) < 5 or sum(c in "aeiou" for c in word) < 2:
+        return False
+    return not any(kind.startswith(word) or (len(kind) > 5 and errors(word, kind)) for kind in KINDS)
 
 
 def shortened(word: str, edits: int = EDITS) -> set[str]:
@@ -230,7 +236,9 @@ def attributed(read: DataFrame) -> DataFrame:
     own = ["label", "anchor", "given", "letters", "words"]
     form = read.groupBy("form", *own).agg(F.sum("n").alias("n"))
     # complete forms, counted whatever the order, case, title or initials they are written with
-    complete = F.when(F.col("label") == "PERSON", F.length("given") > 2).otherwise((F.size("words") > 0) & ~F.exists("words", lambda w: w.endswith(".")))
+    complete = F.when(F.col("label") == "PERSON", F.length("given") > 2).otherwise(
+        ((F.size("words") > 1) | (F.length(F.get("words", F.lit(0))) > 3)) & ~F.exists("words", lambda w: w.endswith("."))
+    )
     base = form.where(complete).groupBy("label", "anchor", "given", F.array_sort("words").alias("words")).agg(
         F.sum("n").alias("n"), F.array_sort(F.collect_set(F.nullif("letters", F.lit("")))).alias("middle"), F.min_by("form", F.struct(F.length("letters"), -F.col("n"), F.col("form"))).alias("to")
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm import containers, distinctive, pairs, pieces, tokens
+from corpuscle.llm import containers, distinctive, markup, names, pairs, pieces, tokens, vocabulary
 from corpuscle.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,26 @@ def p2_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.pieces(table(spark, folder, "content_list"))
 
 
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return names.linked(table(spark, folder, "entities"))
+
+
+def p3_classes(spark: SparkSession, folder: str) -> DataFrame:
+    return names.classes(table(spark, folder, "entities"))
+
+
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return vocabulary.found(table(spark, folder, "entities"), table(spark, folder, "unbis_vocab"))
+
+
+def p5_found(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.residue(table(spark, folder, "content_list"))
+
+
+def p5_text(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.cleaned(table(spark, folder, "content_list"))
+
+
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
     return distinctive.characteristic(table(spark, folder, "chunk"))
 
