@@ -25,3 +25,14 @@ def distinct_elements(content: DataFrame, *columns: str) -> DataFrame:
     """``content_list`` with each element once; identical repeated deliveries count once."""
     keep = ["element_id", *[c for c in columns if c != "element_id"]]
     return content.where(F.col("element_id").isNotNull()).select(*keep).dropDuplicates(["element_id"])
+
+
+def looked_up(rows: DataFrame, found: DataFrame, keys: list[str], spread: str, how: str = "left", salts: int = 16) -> DataFrame:
+    """``rows`` joined with ``found``, which has a row for each value of ``keys``; rows of one value are spread over ``salts`` tasks.
+
+    ``spread`` is a column of ``rows`` that tells rows of one value apart. ``found`` is repeated for each salt, so it
+    should be the distinct, smaller side.
+    """
+    left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
+    right = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return left.join(right, [*keys, "_salt"], how).drop("_salt")

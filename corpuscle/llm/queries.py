@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm import containers, distinctive, markup, names, pairs, pieces, tokens, vocabulary
+from corpuscle.llm import containers, cut_off, distinctive, markup, names, pairs, pieces, tokens, vocabulary
 from corpuscle.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,14 @@ def p9_containers(spark: SparkSession, folder: str) -> DataFrame:
     return containers.containers(table(spark, folder, "documents"))
 
 
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return cut_off.cut_documents(table(spark, folder, "documents")).select("doc_id")
+
+
+def p10_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return cut_off.shares(table(spark, folder, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {name: value for name, value in globals().items() if name[0] == "p" and name[1:2].isdigit()}
 
