@@ -7,12 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuscle.llm import containers, cut_off, distinctive, markup, names, pairs, pieces, tokens, vocabulary
+from corpuscle.llm import containers, cut_off, distinctive, markup, names, pairs, pieces, scanned, tokens, vocabulary
 from corpuscle.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scanned.damaged(table(spark, folder, "content_list"), table(spark, folder, "documents"))
+
+
+def p1_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
+    return scanned.paragraphs(table(spark, folder, "content_list"))
+
+
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.oversized(table(spark, folder, "content_list"))
 
