@@ -22,14 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import distinct_chunks, term
+from corpuscle.llm.common import term
 
 OWN_SHARE, ROUNDS = 0.1, 30
 
 
 def chunk_terms(chunk: DataFrame) -> DataFrame:
-    """``doc_id, chunk_id, kind, term``, each term once in a chunk."""
-    source = distinct_chunks(chunk, "doc_id", "entities", "acronyms")
+    """``record, kind, term`` for each chunk that holds a term; ``record`` is a struct of the doc_id, which may be null.
+
+    Arrays are cut down to their terms before chunks delivered twice are made one, so that little is shuffled.
+    """
 
     def of(column: str, field: str, kind: str):
         terms = F.transform(F.coalesce(F.col(column), F.array()), lambda e: term(e[field]))
@@ -37,18 +39,22 @@ def chunk_terms(chunk: DataFrame) -> DataFrame:
         return F.transform(kept, lambda t: F.struct(F.lit(kind).alias("kind"), t.alias("term")))
 
     both = F.concat(of("entities", "surface", "entity"), of("acronyms", "short", "acronym"))
-    return source.select("doc_id", "chunk_id", F.explode(both).alias("t")).select("doc_id", "chunk_id", "t.kind", "t.term")
+    terms = chunk.where(F.col("chunk_id").isNotNull()).select("chunk_id", "doc_id", both.alias("terms")).where(F.size("terms") > 0)
+    once = terms.dropDuplicates(["chunk_id"])
+    return once.select(F.struct("doc_id").alias("record"), F.explode("terms").alias("t")).select("record", "t.kind", "t.term")
 
 
 def record_counts(chunk: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, kind, term, n_doc, n_all`` (the chunks that hold a term, in the document and in all) and ``kind, n_kind``.
+    """``record, kind, term, n_doc, n_all`` (the chunks that hold a term, in the document and in all) and ``kind, n_kind``.
 
-    Counts are made by document before they are joined, so that a term of very many chunks has one row a document.
+    Counts are made by document before they are joined, so that a term of very many chunks has one row a document. A
+    missing doc_id is no null of ``record``: a filter on it would reach below the first count and keep its shuffle from
+    being used by all that read it.
     """
-    by_doc = chunk_terms(chunk).groupBy("doc_id", "kind", "term").agg(F.count("*").alias("n_doc"))
+    by_doc = chunk_terms(chunk).groupBy("record", "kind", "term").agg(F.count("*").alias("n_doc"))
     overall = by_doc.groupBy("kind", "term").agg(F.sum("n_doc").alias("n_all"))
     totals = by_doc.groupBy("kind").agg(F.sum("n_doc").alias("n_kind"))
-    return by_doc.where(F.col("doc_id").isNotNull()).join(overall, ["kind", "term"]), totals
+    return by_doc.join(overall, ["kind", "term"]), totals
 
 
 def fit(sizes: np.ndarray, tf: np.ndarray, background: np.ndarray, starts: np.ndarray, share: float = OWN_SHARE, rounds: int = ROUNDS) -> np.ndarray:
@@ -68,25 +74,24 @@ def scores(chunk: DataFrame, share: float = OWN_SHARE, rounds: int = ROUNDS) ->
     """``doc_id, kind, term, n_doc, n_all, score`` of every term of every document; kinds have models of their own."""
     counts, totals = record_counts(chunk)
     # totals has a row for each of the two kinds
-    classes = counts.groupBy("doc_id", "kind", "n_doc", "n_all").agg(F.count("*").alias("size")).join(F.broadcast(totals), "kind")
-    cell = F.struct("n_doc", "n_all", "size", "n_kind")
-    models = classes.groupBy("doc_id", "kind").agg(F.collect_list(cell).alias("classes"))
+    classes = counts.groupBy("record", "kind", "n_doc", "n_all").agg(F.count("*").alias("size")).join(F.broadcast(totals), "kind")
+    models = classes.groupBy("record", "kind").agg(F.collect_list(F.struct("n_doc", "n_all", "size", "n_kind")).alias("classes"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            batch = batch.filter(batch.column(0).is_valid())
             column = batch.column(2)
             starts = column.offsets.to_numpy()
             columns = column.flatten().flatten()
-            get = lambda k: columns[k].to_numpy(zero_copy_only=False).astype(float)
-            p = fit(get(2), get(0), get(1) / get(3), (starts[:-1] - starts[0]).astype(int), share, rounds)
-            rows = np.repeat(np.arange(batch.num_rows), np.diff(starts))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(rows)), batch.column(1).take(pa.array(rows)), columns[0], columns[1], pa.array(p)],
-                ["doc_id", "kind", "n_doc", "n_all", "score"],
-            )
-
-    fitted = models.select("doc_id", "kind", "classes").mapInArrow(run, f"doc_id {chunk.schema['doc_id'].dataType.simpleString()}, kind string, n_doc bigint, n_all bigint, score double")
-    return counts.join(fitted, ["doc_id", "kind", "n_doc", "n_all"]).select("doc_id", "kind", "term", "n_doc", "n_all", "score")
+            tf, n_all, size, n_kind = (c.to_numpy(zero_copy_only=False).astype(float) for c in columns)
+            p = fit(size, tf, n_all / n_kind, (starts[:-1] - starts[0]).astype(int), share, rounds)
+            rows = pa.array(np.repeat(np.arange(batch.num_rows), np.diff(starts)))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows), columns[0], columns[1], pa.array(p)], ["doc_id", "kind", "n_doc", "n_all", "score"])
+
+    kind = chunk.schema["doc_id"].dataType.simpleString()
+    fitted = models.select("record.doc_id", "kind", "classes").mapInArrow(run, f"doc_id {kind}, kind string, n_doc bigint, n_all bigint, score double")
+    joined = counts.join(fitted.withColumn("record", F.struct("doc_id")), ["record", "kind", "n_doc", "n_all"])
+    return joined.select(F.col("record.doc_id").alias("doc_id"), "kind", "term", "n_doc", "n_all", "score")
 
 
 def characteristic(chunk: DataFrame, least: int = 3, of_all: tuple[int, int] = (4, 5)) -> DataFrame:
