@@ -36,3 +36,10 @@ def looked_up(rows: DataFrame, found: DataFrame, keys: list[str], spread: str, h
     left = rows.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int"))
     right = found.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
+
+
+def spread(rows: DataFrame, *columns: str) -> DataFrame:
+    """``rows`` over all cores by a hash of ``columns``: few small rows that are costly to work on would else share a task."""
+    spark = rows.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartition(tasks, *columns)
