@@ -27,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from corpuscle.llm.common import spread
 from corpuscle.llm.vocabulary import damerau
 from corpuscle.session import cut_lineage
 
-LABELS, EDITS, ROUNDS = ("PERSON", "ORG"), 2, 5
+LABELS, EDITS = ("PERSON", "ORG"), 2
 #: How many times as many anchors a given name must have, for a rarer one to be a typing error of it.
 TYPO_RATIO = 6
 #: Costs of the channel in nats: an error, a nickname, an initial, a word cut short, an acronym.
@@ -255,7 +256,7 @@ def attributed(read: DataFrame) -> DataFrame:
     right = base.join(n_given, "given", "left").select(
         "label", F.col("anchor").alias("to_anchor"), F.col("given").alias("to_given"), F.col("words").alias("to_words"), F.col("n").alias("to_n"), F.concat_ws("", "middle").alias("to_letters"), "to", F.coalesce("n_given", F.lit(0)).alias("to_n_given")
     )
-    pairs = left.join(near, ["label", "anchor"]).join(right, ["label", "to_anchor"])
+    pairs = spread(left.join(near, ["label", "anchor"]).join(right, ["label", "to_anchor"]), "form")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -282,14 +283,17 @@ def attributed(read: DataFrame) -> DataFrame:
 
 def classes(entities: DataFrame) -> DataFrame:
     """``label, surface, n, class_id`` of every spelling that can be read."""
-    spelled = forms(spellings(entities))
+    spelled = forms(cut_lineage(spread(spellings(entities), "surface")))
     form = F.concat_ws("\u0001", "label", "anchor", "given", "letters", F.array_join(F.array_sort("words"), " "))
     read = cut_lineage(spelled.withColumn("form", form).withColumn("words", F.array_sort("words")))
     to = cut_lineage(attributed(read).where("form <> to"))
-    # an attribution may lead to a form that is itself attributed: follow, twice as far in each round
-    for _ in range(ROUNDS):
+    # an attribution may lead to a form that is itself attributed: follow, twice as far in each round, until none does
+    while True:
         further = to.select(F.col("form").alias("to"), F.col("to").alias("further"))
-        to = to.join(further, "to", "left").select("form", F.coalesce("further", "to").alias("to"))
+        followed = cut_lineage(to.join(further, "to", "left"))
+        if followed.where("further is not null").isEmpty():
+            break
+        to = followed.select("form", F.coalesce("further", "to").alias("to"))
     return read.join(to, "form", "left").select("label", "surface", "n", F.coalesce("to", "form").alias("class_id"))
 
 
