@@ -13,11 +13,13 @@ over; copies of a text share its verdict and count once in the statistics; rows
 
 from __future__ import annotations
 
+import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -25,16 +27,18 @@ from corpuscle.llm.common import looked_up
 from corpuscle.session import cut_lineage
 
 #: What may stand after the end of a text, marks that end a sentence, and what may close after them.
-STRAY = r"[\s\u0000-\u001f\u007f- ​-‏ - ⁠　﻿�]+$"
-MARK = r".!?。！？؟۔।"
-CLOSERS = r"[\"')\]»”’」』*_]*"
-ENDED = rf"[{MARK}]{CLOSERS}$"
+STRAY = "".join(map(chr, (*range(33), *range(0x7F, 0xA1), 0xAD, 0x1680, *range(0x2000, 0x2010), *range(0x2028, 0x2030), 0x205F, 0x2060, 0x3000, 0xFEFF, 0xFFFD)))
+MARK = ".!?。！？؟۔।"
+CLOSERS = "[\"')\\]»”’」』*_]*"
+ENDED = re.compile(rf"[{MARK}]{CLOSERS}$")
 #: A remark in brackets after the last sentence; an amount of money broken off at its point; dots in place of the rest.
-REMARK = rf"[{MARK}]{CLOSERS}\s*\([^()\n]*\)$"
-BROKEN_AMOUNT = r"(?:US\$|\$|EUR|USD|€|£) ?\d{1,3}\.$"
-DOTS = r"(?:\.\.\.|…)$"
+REMARK = re.compile(rf"[{MARK}]{CLOSERS}\s*\([^()\n]*\)$")
+BROKEN_AMOUNT = re.compile(r"(?:US\$|\$|EUR|USD|€|£) ?\d{1,3}\.$")
+DOTS = ("...", "…")
 #: A line of running text or a sentence in a list ends so.
-LINE_ENDED = rf"(?:[{MARK};:,…]{CLOSERS}|[{MARK}]{CLOSERS}\s*\([^()\n]*\))$"
+LINE_ENDED = re.compile(rf"(?:[{MARK};:,…]{CLOSERS}|[{MARK}]{CLOSERS}\s*\([^()\n]*\))$")
+EARLIER = re.compile(rf"[{MARK}]{CLOSERS}\s+\S")
+BULLET = re.compile(r"(?:\d+[.)]|[-*•])\s")
 #: As many lines must begin alike for their endings to count; a line is usual if it occurs more often than ``RARE``.
 SEEN, RARE = 4, 1
 
@@ -74,51 +78,89 @@ def strict_prefixes(values: DataFrame, key: str, value: str) -> DataFrame:
     return found.select(F.col("key").cast(kind).alias(key), "after")
 
 
-def usual_form(line: Column) -> Column:
-    """A line with its digits alike."""
-    return F.regexp_replace(line, r"\d+", "0")
+def usual_form(line: str) -> str:
+    """A line with its numbers alike."""
+    return re.sub(r"\d+", "0", line)
 
 
-def beginnings(form: Column) -> tuple[Column, Column]:
+def beginnings(form: str) -> tuple[str, str]:
     """The first two words and the first word of a line, without marks after them; in scripts without blanks its first characters."""
-    one = F.regexp_extract(form, r"^(\S+)", 1)
-    two = F.regexp_extract(form, r"^(\S+\s+\S+)", 1)
-    long = F.length(one) > 24
-    bare = lambda c: F.regexp_replace(c, r"(?<=\w)[:;,.]+(?=\s|$)", "")
-    return F.when(long, F.substring(form, 1, 4)).otherwise(bare(F.when(two == "", form).otherwise(two))), F.when(long, F.substring(form, 1, 2)).otherwise(bare(one))
+    words = form.split(None, 2)
+    if len(words[0]) > 24:
+        return form[:4], form[:2]
+    bare = [w.rstrip(":;,.") or w for w in words[:2]]
+    return " ".join(bare), bare[0]
 
 
-def endings(texts: DataFrame) -> DataFrame:
-    """``text_id, form, dots, plain`` of the texts that end without a mark, or with dots; ``form`` is of the last line."""
-    whole = F.regexp_replace("text", STRAY, "")
-    ended = texts.select("text_id", whole.alias("whole")).where("whole <> ''")
-    dots = F.col("whole").rlike(DOTS)
-    open_ = dots | F.col("whole").rlike(BROKEN_AMOUNT) | ~(F.col("whole").rlike(ENDED) | F.col("whole").rlike(REMARK))
-    line = F.trim(F.regexp_replace(F.substring_index("whole", "\n", -1), r"[\s\u0000-\u001f �]+", " "))
-    earlier = F.regexp_replace(line, r"^(?:\d+[.)]|[-*•])\s", "").rlike(rf"[{MARK}]{CLOSERS}\s+\S")
-    return ended.where(open_).select("text_id", usual_form(line).alias("form"), (dots | F.col("whole").rlike(BROKEN_AMOUNT)).alias("certain"), earlier.alias("earlier"), F.size(F.split(line, " ")).alias("n_words"))
+def ending(text: str) -> tuple[str, bool, bool, int] | None:
+    """(form of the last line, certainly cut, a sentence ended earlier in it, its words) of a text without a final mark."""
+    whole = text.rstrip(STRAY)
+    certain = whole.endswith(DOTS) or bool(BROKEN_AMOUNT.search(whole, max(0, len(whole) - 16)))
+    line = " ".join(whole[whole.rfind("\n") + 1 :].strip(STRAY).split())
+    if not line or not certain and (ENDED.search(line) or REMARK.search(line)):
+        return None
+    return usual_form(line), certain, bool(EARLIER.search(BULLET.sub("", line, count=1))), len(line.split())
 
 
-def judged(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def swept(texts: DataFrame) -> DataFrame:
+    """One pass over ``text_id, text``: endings without a mark (with a text_id), and counts of lines by how they begin.
+
+    Counts are kept for each partition and added up by whoever reads them.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["text_id", "form", "two", "one", "certain", "earlier", "n_words", "n", "n_marked"]
+        kinds = [pa.string()] * 4 + [pa.bool_()] * 2 + [pa.int64()] * 3
+        made = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 9, kinds, strict=True)], names)
+        begun: Counter[tuple[str, str]] = Counter()
+        marked: Counter[tuple[str, str]] = Counter()
+        unmarked: Counter[str] = Counter()
+
+        def counts() -> list[tuple]:
+            rows = [(None, None, two, one, None, None, None, n, marked[two, one]) for (two, one), n in begun.items()]
+            rows += [(None, form, None, None, None, None, None, n, 0) for form, n in unmarked.items()]
+            begun.clear(), marked.clear(), unmarked.clear()
+            return rows
+
+        for batch in batches:
+            out = []
+            for text_id, text in zip(*(batch.column(c).to_pylist() for c in range(2)), strict=True):
+                if end := ending(text):
+                    out.append((text_id, end[0], *beginnings(end[0]), *end[1:], None, None))
+                for line in text.split("\n"):
+                    line = line.strip(STRAY)
+                    if line:
+                        form = usual_form(line)
+                        key = beginnings(form)
+                        begun[key] += 1
+                        if LINE_ENDED.search(line, max(0, len(line) - 400)):
+                            marked[key] += 1
+                        else:
+                            unmarked[form] += 1
+            yield made(out)
+            if len(begun) + len(unmarked) > 500_000:
+                yield made(counts())
+        yield made(counts())
+
+    return texts.select("text_id", "text").mapInArrow(run, "text_id string, form string, two string, one string, certain boolean, earlier boolean, n_words bigint, n bigint, n_marked bigint")
+
+
+def judged(documents: DataFrame, text: str = "text") -> DataFrame:
     """``text_id`` and ``evidence`` (copy, dots, sentence, line) of every distinct text that was cut."""
-    usable = documents.where(F.col(text).isNotNull() & (F.regexp_replace(text, STRAY, "") != ""))
+    usable = documents.where(F.col(text).isNotNull() & (F.rtrim(text, F.lit(STRAY)) != ""))
     # copies are made one before anything is counted or sorted
     texts = usable.select(F.col(text).alias("text")).distinct().withColumn("text_id", F.md5("text"))
-    open_ = cut_lineage(endings(texts))
+    seen = cut_lineage(swept(texts))
+    open_ = seen.where("text_id is not null").select("text_id", "form", "two", "one", "certain", "earlier", "n_words")
     copies = strict_prefixes(texts, "text_id", "text").where(~F.col("after").isin("\n", "\r", " ")).select("text_id", F.lit(True).alias("copied"))
 
-    lines = texts.select(F.explode(F.split("text", "\n")).alias("line")).select(F.trim(F.regexp_replace("line", STRAY, "")).alias("line")).where("line <> ''")
-    formed = lines.select(usual_form(F.col("line")).alias("form"), F.col("line").rlike(LINE_ENDED).alias("marked"))
-    two, one = beginnings(F.col("form"))
-    alike = cut_lineage(formed.groupBy(two.alias("two"), one.alias("one")).agg(F.count("*").alias("n"), F.sum(F.col("marked").cast("long")).alias("n_marked")))
-    by_two = alike.groupBy("two").agg(F.sum("n").alias("n_two"), F.sum("n_marked").alias("marked_two"))
-    by_one = alike.groupBy("one").agg(F.sum("n").alias("n_one"), F.sum("n_marked").alias("marked_one"))
-
-    unmarked = formed.where("not marked").groupBy("form").agg(F.count("*").alias("n_form"))
+    begun = seen.where("two is not null and text_id is null")
+    by_two = begun.groupBy("two").agg(F.sum("n").alias("n_two"), F.sum("n_marked").alias("marked_two"))
+    by_one = begun.groupBy("one").agg(F.sum("n").alias("n_one"), F.sum("n_marked").alias("marked_one"))
+    unmarked = cut_lineage(seen.where("form is not null and text_id is null").groupBy("form").agg(F.sum("n").alias("n_form")))
     rare = strict_prefixes(unmarked.select("form", F.col("form").alias("same")), "form", "same").join(unmarked.where(F.col("n_form") <= RARE), "form").select("form", F.lit(True).alias("unfinished"))
 
-    keyed = open_.withColumn("two", two).withColumn("one", one)
-    keyed = looked_up(looked_up(keyed, by_two, ["two"], "text_id"), by_one, ["one"], "text_id")
+    keyed = looked_up(looked_up(open_, by_two, ["two"], "text_id"), by_one, ["one"], "text_id")
     # the line itself is among those that begin like it
     share = F.when(F.col("n_two") > SEEN, F.col("marked_two") / (F.col("n_two") - 1)).when(F.col("n_one") > SEEN, F.col("marked_one") / (F.col("n_one") - 1))
     sentence = F.coalesce(share >= 0.5, F.col("earlier") | (F.col("n_words") > 3))
@@ -130,7 +172,7 @@ def judged(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def cut_documents(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key`` and ``evidence`` of every document whose text was cut."""
     rows = documents.where(F.col(key).isNotNull() & F.col(text).isNotNull()).select(key, F.md5(text).alias("text_id"))
-    return looked_up(rows, judged(documents, key, text), ["text_id"], key, "inner").select(key, "evidence").dropDuplicates([key])
+    return looked_up(rows, judged(documents, text), ["text_id"], key, "inner").select(key, "evidence").dropDuplicates([key])
 
 
 def shares(documents: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
