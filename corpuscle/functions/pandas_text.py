@@ -10,15 +10,16 @@ from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(values: pd.Series) -> pd.Series:
     """HTML character references as characters, stripped; null stays null."""
     return values.map(lambda v: None if v is None else html.unescape(v).strip())
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unaccent_all(values: pd.Series) -> pd.Series:
     """Marks removed in every script, by canonical decomposition."""
     return values.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFD", v) if not unicodedata.combining(c)))
@@ -83,7 +84,7 @@ def markdown_table(body: str | None) -> str | None:
     return "\n".join([lines[0], "| " + " | ".join(["---"] * width) + " |", *lines[1:]])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def table_to_markdown(bodies: pd.Series) -> pd.Series:
     return bodies.map(markdown_table)
 
@@ -107,7 +108,7 @@ def loose_json(answer: str | None) -> dict[str, str]:
     return {}
 
 
-@F.pandas_udf("map<string,string>")
+@F.pandas_udf(T.MapType(T.StringType(), T.StringType()))
 def parse_answer(answers: pd.Series) -> pd.Series:
     return answers.map(loose_json)
 
@@ -148,6 +149,6 @@ def _align(short: str, words: str) -> str | None:
     return long if len(long) > len(short) and short not in long.split() else None
 
 
-@F.pandas_udf("array<struct<short:string,long:string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("short", T.StringType()), T.StructField("long", T.StringType())])))
 def inline_abbreviations(texts: pd.Series) -> pd.Series:
     return texts.map(lambda t: [{"short": s, "long": v} for s, v in abbreviations(t)])

@@ -14,9 +14,9 @@ EDGES = r"(?U)^[\s\u001c-\u001f]+|[\s\u001c-\u001f]+$"
 
 @lru_cache(1)
 def _accents() -> tuple[str, str]:
-    """Accented letters of the Latin blocks and what they are without their marks, by Unicode's own decompositions."""
+    """Accented letters of the alphabets below U+2000 and their bases, by Unicode's own decompositions."""
     pairs = {}
-    for code in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)):
+    for code in range(0xC0, 0x2000):
         letter = chr(code)
         base = "".join(c for c in unicodedata.normalize("NFD", letter) if not unicodedata.combining(c))
         if base != letter and len(base) == 1:
@@ -25,9 +25,9 @@ def _accents() -> tuple[str, str]:
 
 
 def unaccent(value: Column) -> Column:
-    """Latin letters without their accents; other scripts stay as they are."""
+    """Letters without their accents, whether composed or followed by marks; letters themselves stay in their script."""
     with_marks, without = _accents()
-    return F.translate(F.replace(value, F.lit("ß"), F.lit("ss")), with_marks, without)
+    return F.regexp_replace(F.translate(F.replace(value, F.lit("ß"), F.lit("ss")), with_marks, without), r"\p{M}+", "")
 
 
 def stripped(value: Column) -> Column:
@@ -81,7 +81,7 @@ def rdf_safe(surface: Column) -> Column:
 
 def comma_list(value: Column) -> Column:
     """The non-empty parts of a comma-separated list, trimmed; empty for null."""
-    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(F.coalesce(value, F.lit("")), ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def last_segment(url: Column) -> Column:
