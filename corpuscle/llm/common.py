@@ -39,7 +39,11 @@ def looked_up(rows: DataFrame, found: DataFrame, keys: list[str], spread: str, h
 
 
 def spread(rows: DataFrame, *columns: str) -> DataFrame:
-    """``rows`` over all cores by a hash of ``columns``: few small rows that are costly to work on would else share a task."""
+    """``rows`` over all cores by a hash of ``columns``: few small rows that are costly to work on would else share a task.
+
+    The hash is an expression of its own, as a partitioning by the columns themselves may be that of a step before, whose
+    partitions are gathered by their size.
+    """
     spark = rows.sparkSession
     tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return rows.repartition(tasks, *columns)
+    return rows.repartition(tasks, F.xxhash64(*columns))
