@@ -13,6 +13,7 @@ over; copies of a text share its verdict and count once in the statistics; rows
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -43,39 +44,63 @@ BULLET = re.compile(r"(?:\d+[.)]|[-*•])\s")
 SEEN, RARE = 4, 1
 
 
-def strict_prefixes(values: DataFrame, key: str, value: str) -> DataFrame:
-    """``key`` and ``after`` (the first character that follows) of each value that begins a longer one.
+class Successors:
+    """Takes sorted values one by one and tells which of them begin their successors; equal ones count once."""
 
-    ``values`` are distinct and not null. They are sorted over the cluster; only the first and last of each partition
-    are compared across it.
+    def __init__(self) -> None:
+        self.held: tuple[str, str] | None = None
+        self.first: str | None = None
+
+    def take(self, key: str, value: str) -> tuple[str, str] | None:
+        """(key, character that follows) of the value before, if it is a strict prefix of ``value``."""
+        found = None
+        if self.held is None:
+            self.first = value
+        elif value == self.held[1]:
+            return None
+        elif value.startswith(self.held[1]):
+            found = self.held[0], value[len(self.held[1])]
+        self.held = key, value
+        return found
+
+    def edges(self) -> list[tuple[str | None, str, int]]:
+        """(key, value, place) of the first and the last value of the partition; the first has no key."""
+        place = TaskContext.get().partitionId()
+        return [] if self.held is None else [(None, self.first, 2 * place), (*self.held, 2 * place + 1)]
+
+
+def across(edges: DataFrame, key: str) -> DataFrame:
+    """The prefixes among the last values of partitions, which have their successors in the next.
+
+    ``edges`` has two rows a partition, whatever the data's size.
     """
-    kind = values.schema[key].dataType.simpleString()
-    parts = values.select(key, value).repartitionByRange(F.col(value)).sortWithinPartitions(value)
+    followed = edges.withColumn("next", F.lead("value").over(Window.orderBy("place"))).where(f"{key} is not null and next is not null")
+    longer = followed.where(F.expr("startswith(next, value) and length(next) > length(value)"))
+    return longer.select(key, F.expr("substring(next, length(value) + 1, 1)").alias("after"))
+
+
+def strict_prefixes(values: DataFrame, value: str) -> DataFrame:
+    """``value`` and ``after`` (the first character that follows) of each value that begins a longer one.
+
+    Values are sorted over the cluster; only the first and last of each partition are compared across it.
+    """
+    parts = values.where(F.col(value).isNotNull()).select(value).repartitionByRange(F.col(value)).sortWithinPartitions(value)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = TaskContext.get().partitionId()
-        names = ["key", "after", "value", "place"]
-        kinds = [pa.string(), pa.string(), pa.string(), pa.int64()]
-        held = None
+        successors = Successors()
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            if held is None and texts:
-                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((None, None, texts[0], 2 * place), kinds, strict=True)], names)
-            found = []
-            for k, text in zip(keys, texts, strict=True):
-                if held is not None and text.startswith(held[1]):
-                    found.append((held[0], text[len(held[1])]))
-                held = (k, text)
-            yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], kinds[0]), pa.array([f[1] for f in found], kinds[1]), pa.nulls(len(found), kinds[2]), pa.nulls(len(found), kinds[3])], names)
-        if held is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((held[0], None, held[1], 2 * place + 1), kinds, strict=True)], names)
-
-    swept = cut_lineage(parts.select(F.col(key).cast("string"), value).mapInArrow(run, "key string, after string, value string, place bigint"))
-    # two rows a partition, whatever the data's size
-    edges = swept.where("place is not null").withColumn("next", F.lead("value").over(Window.orderBy("place"))).where("key is not null and next is not null")
-    across = edges.where(F.expr("startswith(next, value) and length(next) > length(value)"))
-    found = swept.where("place is null").select("key", "after").unionByName(across.select("key", F.expr("substring(next, length(value) + 1, 1)").alias("after")))
-    return found.select(F.col("key").cast(kind).alias(key), "after")
+            yield _batch([(*f, None, None) for v in batch.column(0).to_pylist() if (f := successors.take(v, v))], "sssl", ["key", "after", "value", "place"])
+        yield _batch([(k, None, v, p) for k, v, p in successors.edges()], "sssl", ["key", "after", "value", "place"])
+
+    swept = cut_lineage(parts.mapInArrow(run, "key string, after string, value string, place bigint"))
+    found = swept.where("place is null").select("key", "after").unionByName(across(swept.where("place is not null"), "key"))
+    return found.withColumnRenamed("key", value)
+
+
+def _batch(rows: list[tuple], kinds: str, names: list[str]) -> pa.RecordBatch:
+    types = {"s": pa.string(), "b": pa.bool_(), "l": pa.int64()}
+    columns = list(zip(*rows, strict=True)) if rows else [()] * len(kinds)
+    return pa.RecordBatch.from_arrays([pa.array(c, types[k]) for c, k in zip(columns, kinds, strict=True)], names)
 
 
 def usual_form(line: str) -> str:
@@ -102,31 +127,60 @@ def ending(text: str) -> tuple[str, bool, bool, int] | None:
     return usual_form(line), certain, bool(EARLIER.search(BULLET.sub("", line, count=1))), len(line.split())
 
 
+def once_a_partition(documents: DataFrame, text: str) -> DataFrame:
+    """``text_id, text`` of texts with a character, each once for each partition that it is read in.
+
+    Copies that a third of all rows may be are so as many as there are partitions before they are sorted together.
+    """
+    usable = documents.where(F.col(text).isNotNull() & (F.rtrim(text, F.lit(STRAY)) != "")).select(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
+        for batch in batches:
+            new = []
+            for value in batch.column(0).to_pylist():
+                code = hashlib.md5(value.encode())
+                if code.digest() not in seen:
+                    seen.add(code.digest())
+                    new.append((code.hexdigest(), value))
+            yield _batch(new, "ss", ["text_id", "text"])
+
+    return usable.mapInArrow(run, "text_id string, text string")
+
+
 def swept(texts: DataFrame) -> DataFrame:
-    """One pass over ``text_id, text``: endings without a mark (with a text_id), and counts of lines by how they begin.
+    """One pass over sorted ``text_id, text``, each text once: all that is known of endings, lines and prefixes.
 
-    Counts are kept for each partition and added up by whoever reads them.
+    Rows are endings without a mark (with a form), prefixes (with ``after``), first and last texts of partitions (with a
+    place), and, without text_id, counts of lines by how they begin and of unmarked lines, for each partition.
     """
+    parts = texts.repartitionByRange(F.col("text")).sortWithinPartitions("text")
+    names = ["text_id", "form", "two", "one", "certain", "earlier", "n_words", "n", "n_marked", "after", "value", "place"]
+    kinds = "ssssbblllssl"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["text_id", "form", "two", "one", "certain", "earlier", "n_words", "n", "n_marked"]
-        kinds = [pa.string()] * 4 + [pa.bool_()] * 2 + [pa.int64()] * 3
-        made = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 9, kinds, strict=True)], names)
         begun: Counter[tuple[str, str]] = Counter()
         marked: Counter[tuple[str, str]] = Counter()
         unmarked: Counter[str] = Counter()
+        successors = Successors()
 
         def counts() -> list[tuple]:
-            rows = [(None, None, two, one, None, None, None, n, marked[two, one]) for (two, one), n in begun.items()]
-            rows += [(None, form, None, None, None, None, None, n, 0) for form, n in unmarked.items()]
+            rows = [(None, None, *key, None, None, None, n, marked[key], None, None, None) for key, n in begun.items()]
+            rows += [(None, form, None, None, None, None, None, n, 0, None, None, None) for form, n in unmarked.items()]
             begun.clear(), marked.clear(), unmarked.clear()
             return rows
 
+        before = None
         for batch in batches:
             out = []
             for text_id, text in zip(*(batch.column(c).to_pylist() for c in range(2)), strict=True):
+                if text == before:
+                    continue
+                before = text
+                if prefix := successors.take(text_id, text):
+                    out.append((prefix[0], *[None] * 8, prefix[1], None, None))
                 if end := ending(text):
-                    out.append((text_id, end[0], *beginnings(end[0]), *end[1:], None, None))
+                    out.append((text_id, end[0], *beginnings(end[0]), *end[1:], *[None] * 5))
                 for line in text.split("\n"):
                     line = line.strip(STRAY)
                     if line:
@@ -137,28 +191,27 @@ def swept(texts: DataFrame) -> DataFrame:
                             marked[key] += 1
                         else:
                             unmarked[form] += 1
-            yield made(out)
+            yield _batch(out, kinds, names)
             if len(begun) + len(unmarked) > 500_000:
-                yield made(counts())
-        yield made(counts())
+                yield _batch(counts(), kinds, names)
+        yield _batch(counts() + [(k, *[None] * 9, v, p) for k, v, p in successors.edges()], kinds, names)
 
-    return texts.select("text_id", "text").mapInArrow(run, "text_id string, form string, two string, one string, certain boolean, earlier boolean, n_words bigint, n bigint, n_marked bigint")
+    kind = {"s": "string", "b": "boolean", "l": "bigint"}
+    return parts.mapInArrow(run, ", ".join(f"{n} {kind[k]}" for n, k in zip(names, kinds, strict=True)))
 
 
 def judged(documents: DataFrame, text: str = "text") -> DataFrame:
     """``text_id`` and ``evidence`` (copy, dots, sentence, line) of every distinct text that was cut."""
-    usable = documents.where(F.col(text).isNotNull() & (F.rtrim(text, F.lit(STRAY)) != ""))
-    # copies are made one before anything is counted or sorted
-    texts = usable.select(F.col(text).alias("text")).distinct().withColumn("text_id", F.md5("text"))
-    seen = cut_lineage(swept(texts))
-    open_ = seen.where("text_id is not null").select("text_id", "form", "two", "one", "certain", "earlier", "n_words")
-    copies = strict_prefixes(texts, "text_id", "text").where(~F.col("after").isin("\n", "\r", " ")).select("text_id", F.lit(True).alias("copied"))
+    seen = cut_lineage(swept(once_a_partition(documents, text)))
+    open_ = seen.where("text_id is not null and form is not null").select("text_id", "form", "two", "one", "certain", "earlier", "n_words")
+    begins = seen.where("text_id is not null and after is not null").select("text_id", "after").unionByName(across(seen.where("place is not null"), "text_id"))
+    copies = begins.where(~F.col("after").isin("\n", "\r", " ")).select("text_id", F.lit(True).alias("copied"))
 
     begun = seen.where("two is not null and text_id is null")
     by_two = begun.groupBy("two").agg(F.sum("n").alias("n_two"), F.sum("n_marked").alias("marked_two"))
     by_one = begun.groupBy("one").agg(F.sum("n").alias("n_one"), F.sum("n_marked").alias("marked_one"))
     unmarked = cut_lineage(seen.where("form is not null and text_id is null").groupBy("form").agg(F.sum("n").alias("n_form")))
-    rare = strict_prefixes(unmarked.select("form", F.col("form").alias("same")), "form", "same").join(unmarked.where(F.col("n_form") <= RARE), "form").select("form", F.lit(True).alias("unfinished"))
+    rare = strict_prefixes(unmarked, "form").join(unmarked.where(F.col("n_form") <= RARE), "form").select("form", F.lit(True).alias("unfinished"))
 
     keyed = looked_up(looked_up(open_, by_two, ["two"], "text_id"), by_one, ["one"], "text_id")
     # the line itself is among those that begin like it
