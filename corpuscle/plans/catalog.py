@@ -464,30 +464,31 @@ def chunk_graph_edges(spark, folder):
     return cograph.edges(cograph.chunk_entities(table(spark, folder, "chunk")))
 
 
-def _acronym_graph(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents that explain the same acronym in the same way, a sparser graph."""
+def _explained(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents and the acronyms they explain, each with its long form."""
     said = acronyms.of_chunks(_once(table(spark, folder, "chunk")))
-    return cograph.edges(said.select("doc_id", F.concat_ws("=", "short", "long").alias("entity")).distinct(), "doc_id")
+    return said.select("doc_id", F.concat_ws("=", "short", "long").alias("entity")).distinct()
 
 
 @query
 def acronym_graph_edges(spark, folder):
-    return _acronym_graph(spark, folder)
+    return cograph.edges(_explained(spark, folder), "doc_id")
 
 
 @query
 def graph_components(spark, folder):
-    return cograph.components(_acronym_graph(spark, folder))
+    return cograph.member_components(_explained(spark, folder), "doc_id")
 
 
 @query
 def communities(spark, folder):
-    return cograph.communities(_acronym_graph(spark, folder))
+    members = _explained(spark, folder)
+    return cograph.communities(cograph.edges(members, "doc_id"), of=cograph.member_components(members, "doc_id"))
 
 
 @query
 def community_sizes(spark, folder):
-    return cograph.largest(cograph.components(_acronym_graph(spark, folder)), "component")
+    return cograph.largest(cograph.member_components(_explained(spark, folder), "doc_id"), "component")
 
 
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
