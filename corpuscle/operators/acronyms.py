@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpuscle import prompts
 from corpuscle.functions.pandas_text import inline_abbreviations, parse_answer, unescape
 from corpuscle.functions.text import token_count
+from corpuscle.models import Chat
 
 #: An acronym's length and share of capitals at least.
 LEAST_LENGTH, LEAST_UPPER = 2, 0.5
@@ -25,6 +30,18 @@ def from_answers(answers: DataFrame, key: str = "doc_id", answer: str = "answer"
     return parsed.where("short is not null and short <> ''")
 
 
+def by_model(documents: DataFrame, chat: Chat, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, short, long`` as a model finds them in a text, which is cut to what a prompt may hold."""
+    kind = documents.schema[key].dataType.simpleString()
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({key: frame[key], "answer": chat([prompts.ACRONYMS + t[: prompts.MOST] for t in frame[text]])})
+
+    asked = documents.where(F.col(text).isNotNull()).select(key, text).mapInPandas(run, f"{key} {kind}, answer string")
+    return from_answers(asked, key)
+
+
 def keepable(acronyms: DataFrame) -> DataFrame:
     """Those that are long enough and mostly capitals."""
     upper = F.length(F.regexp_replace("short", r"[^\p{Lu}]", "")) / F.length("short")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from corpuscle.functions.text import rdf_safe, without_query
 
 #: Labels that are no entities of the graph.
-EXCLUDED = ("DATE", "CARDINAL", "MONEY", "PERCENT", "QUANTITY", "TIME", "ORDINAL", "WORK_OF_ART")
+EXCLUDED = ("DATE", "TIME", "PERCENT", "MONEY", "QUANTITY", "ORDINAL", "CARDINAL", "PERSON")
 #: Words are runs of letters and digits; hyphens and apostrophes may stand within.
 TOKEN = r"[\p{L}\p{N}]+(?:[-'’][\p{L}\p{N}]+)*"
 
@@ -75,7 +75,7 @@ def resolved(found: DataFrame, key: str = "doc_id") -> DataFrame:
 
 
 def entities(collected: DataFrame) -> DataFrame:
-    """Mentions with a surface and a label that is no number, date or the like; identical repeated rows count once."""
+    """Mentions with a surface and a label that isn't excluded; identical repeated rows count once."""
     usable = collected.where("surface is not null and trim(surface) <> '' and label is not null")
     return usable.where(~F.col("label").isin(*EXCLUDED)).dropDuplicates(["entity_id"])
 

@@ -2,13 +2,28 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import json
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from corpuscle import prompts
 from corpuscle.functions.text import cache_key, last_segment, sanitize_entity
+from corpuscle.models import Chat
 from corpuscle.session import cut_lineage
 
 DEPTH = 20
+#: The classes of the knowledge base that an entity of a label may belong to.
+CLASSES = {
+    "CARDINAL": ["Q11229"], "DATE": ["Q205892"], "EVENT": ["Q1656682"], "FAC": ["Q13226383", "Q17334923"], "GPE": ["Q6256", "Q3624078"], "LANGUAGE": ["Q34770"], "LAW": ["Q7748"], "LOC": ["Q2221906"], "MONEY": ["Q1368"],
+    "NORP": ["Q16334295", "Q9174"], "ORDINAL": ["Q628523"], "ORG": ["Q43229"], "PERCENT": ["Q11229"], "PERSON": ["Q5"], "PRODUCT": ["Q2424752"], "QUANTITY": ["Q47574"], "TIME": ["Q186408"], "WORK_OF_ART": ["Q838948"],
+}
+#: The properties of countries that are taken over, and the labels of their values.
+COUNTRY_PROPERTIES = {"continent": "P30", "form_of_government": "P122", "political_system": "P1387", "currency": "P38", "official_language": "P37", "population": "P1082", "gdp_per_capita": "P2299"}
+VALUE_LABELS = {"P30": "LOC", "P122": "ORG", "P1387": "ORG", "P38": "MONEY", "P37": "LANGUAGE", "P1082": "CARDINAL", "P2299": "MONEY"}
 
 
 def lookups(mentions: DataFrame) -> DataFrame:
@@ -94,6 +109,41 @@ def cascade(wanted: DataFrame, labels: DataFrame, most: int = 3) -> DataFrame:
     return found.select("name_lc", "type_lc", "name", "label", F.coalesce("qid", "near").alias("qid"), how.alias("how"))
 
 
+def allowed_classes(spark: SparkSession) -> DataFrame:
+    """``label, class`` of CLASSES."""
+    return spark.createDataFrame([(label, c) for label, classes in CLASSES.items() for c in classes], "label string, class string")
+
+
+def by_model(batches: DataFrame, chat: Chat) -> DataFrame:
+    """``name, label, qid, confidence`` from a model's answers about batches of ``name (label)`` lines.
+
+    ``batches`` has ``batch`` and ``lines`` (see windows.batches for batches within a budget of tokens). Answers that
+    can't be read, and items of another form, give nothing.
+    """
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            answers = chat([prompts.LINKING + "\n".join(lines) for lines in frame["lines"]])
+            found = [item for answer in answers for item in _items(answer)]
+            yield pd.DataFrame(found, columns=["name", "label", "qid", "confidence"])
+
+    return batches.mapInPandas(run, "name string, label string, qid string, confidence int")
+
+
+def _items(answer: str | None) -> list[tuple]:
+    listed = re.search(r"\[.*\]", answer or "", re.S)
+    try:
+        items = json.loads(listed[0]) if listed else []
+    except ValueError:
+        return []
+    out = []
+    for item in items if isinstance(items, list) else []:
+        if isinstance(item, list) and len(item) == 4 and item[0]:
+            qid = item[2] if isinstance(item[2], str) and re.fullmatch(r"Q\d+", item[2]) else None
+            out.append((str(item[0]), str(item[1]), qid, item[3] if isinstance(item[3], int) else None))
+    return out
+
+
 def with_cache(wanted: DataFrame, cache: DataFrame, mode: str = "intended") -> DataFrame:
     """``wanted`` against a cache of ``name_lc, type_lc, url`` (null for names known to have none).
 

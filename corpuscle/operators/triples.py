@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.functions.text import comma_list
@@ -45,6 +45,11 @@ def uri(kind: str, key: Column) -> Column:
     return F.concat(F.lit(f"{EX}{kind}/"), key)
 
 
+def identifier_property(spark: SparkSession) -> DataFrame:
+    """The property by which everything is identified, which every graph begins with."""
+    return spark.createDataFrame([(IDENTIFIER, TYPE, RDF + "Property", "uri", None), (IDENTIFIER, LABEL, "Identifier", "literal", None)], "s string, p string, o string, o_kind string, lang string")
+
+
 def class_triples(rows: DataFrame, kind: str, label: str, properties: tuple[str, ...] = ()) -> DataFrame:
     """The class itself, once: type, parent, label, and the properties that have it as domain. ``rows`` gives the session."""
     spark = rows.sparkSession
