@@ -32,17 +32,17 @@ MARKS = {
     "wiki_link": re.compile(r"\[\[[^\[\]\n]+\]\]"),
     "wiki_template": re.compile(r"\{\{[^{}\n]+\}\}"),
     "wiki_quotes": re.compile(r"(?<!')('{2,3}|'{5})(?=[^\s'])[^'\n]*[^\s']\1(?!')"),
-    "wiki_heading": re.compile(r"^\s*(={2,6})[^=\n]+\1\s*$", re.M),
+    "wiki_heading": re.compile(r"^[ \t]*(={2,6})[^=\n]+\1[ \t]*$", re.M),
     "wiki_url": re.compile(r"(?<![\]!\w])\[(?:https?|ftp)://[^\s\]]+ [^\]\n]+\](?!\()"),
-    "wiki_list": re.compile(r"^(?:\*|#|\*\*|\*#)\s+\S[^\n]*\n\s*(?:\*\*|##|\*#|#\*|:)\s*\S", re.M),
-    "wiki_table": re.compile(r"^\s*\{\|[^\n]*\n", re.M),
+    "wiki_list": re.compile(r"^(?:\*|#|\*\*|\*#)[ \t]+\S[^\n]*\n[ \t]*(?:\*\*|##|\*#|#\*|:)\s*\S", re.M),
+    "wiki_table": re.compile(r"^[ \t]*\{\|[^\n]*\n", re.M),
     "md_emphasis": re.compile(r"(?<![\w*])(\*{2,3})(?=[^\s*])[^*\n]*[^\s*]\1(?![\w*])|(?<![\w_])__(?=[^\s_])[^\n]*?[^\s_]__(?![\w_])|~~(?=[^\s~])[^~\n]+~~"),
     "md_link": re.compile(r"!?\[[^\[\]\n]*\]\([^()\s]+(?:\s+\"[^\"]*\")?\)"),
     "md_heading": re.compile(r"^(?:#{2,6}\s+\S|#\s+[A-Z])", re.M),
     "md_code": re.compile(r"```[^`]*```|(?<![`\w])`[^`\n]+`(?!`)"),
-    "md_quote": re.compile(r"^>\s+\S[^\n]*\n>\s*\S", re.M),
-    "md_list": re.compile(r"^\s*(?:[-+*]\s+\S[^\n]*\n\s*[-+*]\s+\S|\d+[.)]\s+\S[^\n]*\n\s*\d+[.)]\s+\S)", re.M),
-    "md_table": re.compile(r"^\s*\|?\s*:?-{2,}:?\s*(?:\|\s*:?-{2,}:?\s*)+\|?\s*$", re.M),
+    "md_quote": re.compile(r"^>[ \t]+\S[^\n]*\n>[ \t]*\S", re.M),
+    "md_list": re.compile(r"^[ \t]*(?:[-+*][ \t]+\S[^\n]*\n[ \t]*[-+*][ \t]+\S|\d+[.)][ \t]+\S[^\n]*\n[ \t]*\d+[.)][ \t]+\S)", re.M),
+    "md_table": re.compile(r"^[ \t]*\|?[ \t]*:?-{2,}:?[ \t]*(?:\|[ \t]*:?-{2,}:?[ \t]*)+\|?[ \t]*$", re.M),
     "tex_command": re.compile(r"\\(?:[a-zA-Z]{2,}\*?)(?:\[[^\]\n]*\])?\{"),
     "tex_environment": re.compile(r"\\(?:begin|end)\{[a-zA-Z*]+\}"),
     "tex_math": re.compile(r"\$(?=[^$\n]*(?:\\[a-zA-Z]+|[\^_]\{?\w))[^$\n]+\$|\\\(.+?\\\)|\\\[.+?\\\]"),

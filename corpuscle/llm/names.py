@@ -119,8 +119,8 @@ def may_anchor(word: str) -> bool:
 
 
 def shortened(word: str, edits: int = EDITS) -> set[str]:
-    """``word`` with up to ``edits`` characters left out; short words lose fewer."""
-    most = min(edits, max(0, (len(word) - 2) // 2))
+    """``word`` with up to ``edits`` characters left out; short words lose fewer, and so do those too long for a name."""
+    most = min(edits, max(0, (len(word) - 2) // 2), 2 if len(word) <= 24 else 1 if len(word) <= 64 else 0)
     return {"".join(c for i, c in enumerate(word) if i not in left) for n in range(most + 1) for left in map(set, combinations(range(len(word)), n))}
 
 

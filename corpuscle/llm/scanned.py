@@ -39,7 +39,7 @@ GROUPS = (("ii", "u"), ("ri", "n"), ("rn", "m"), ("ci", "d"), ("vv", "w"))
 #: Characters that never stand within a word but by misreading; digits and what is read for them.
 NEVER = re.compile(r"[a-z][†¢|][a-z]|[a-z]![a-z]|(?<=[a-zA-Z])[ҽαı]|[ҽα](?=[a-zA-Z])|[a-z]{2}[0-9][a-z]{2}")
 DIGITS = str.maketrans("oOlIi|!ıSsB", "00111111558")
-NUMBER = re.compile(r"(?<![\w|!])(?=[^\s]*[0-9])[0-9oOlIi|!ıSsB]+(?:[.,][0-9oOlIi|!ıSsB]+)*(?![\w|])")
+NUMBER = re.compile(r"(?<![\w|!])[0-9oOlIi|!ıSsB]+(?:[.,][0-9oOlIi|!ıSsB]+)*(?![\w|])")
 
 WORD = re.compile(r"[^\W_一-鿿぀-ヿ가-힯＀-￯]+(?:[†¢|!][^\W_一-鿿]+)*[†¢|]?|[†¢|!][^\W_一-鿿]+")
 LETTERS = re.compile(r"[^\W\d_]+")
@@ -274,7 +274,6 @@ def model() -> tuple[dict, dict, list[dict]]:
     return start, step, emit
 
 
-@lru_cache(100_000)
 def _viterbi(rows: tuple[tuple, ...]) -> tuple[str, ...]:
     start, step, emit = model()
     score = lambda s, row: sum(table.get((s, v), -8.0) for table, v in zip(emit, row, strict=True))
@@ -292,9 +291,12 @@ def _viterbi(rows: tuple[tuple, ...]) -> tuple[str, ...]:
     return tuple(reversed(path))
 
 
+_short = lru_cache(100_000)(_viterbi)
+
+
 def labels(lines: list[str], page: int | None) -> tuple[str, ...]:
     """The state of each line by the Viterbi path of the model."""
-    return _viterbi(tuple(layout(lines, page))) if lines else ()
+    return (_short if len(lines) <= 32 else _viterbi)(tuple(layout(lines, page))) if lines else ()
 
 
 def title_key(text: str) -> str:
@@ -412,8 +414,8 @@ def lexicon_of(elements: DataFrame, share: float = SHARE) -> Lexicon:
 def damaged(content: DataFrame, documents: DataFrame) -> DataFrame:
     """``element_id, kind`` of every damaged element."""
     elements = text_elements(content)
-    shared = elements.sparkSession.sparkContext.broadcast(lexicon_of(elements).counts)
-    least = LEAST
+    lexicon = lexicon_of(elements)
+    shared, least = elements.sparkSession.sparkContext.broadcast(lexicon.counts), lexicon.least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _lexicon(shared, least)
@@ -463,8 +465,8 @@ def _lexicon(shared, least: int) -> Lexicon:
 def paragraphs(content: DataFrame) -> DataFrame:
     """``element_id, doc_id, pos, paragraph, text``: the repaired text of every element, once."""
     elements = text_elements(content)
-    shared = elements.sparkSession.sparkContext.broadcast(lexicon_of(elements).counts)
-    least = LEAST
+    lexicon = lexicon_of(elements)
+    shared, least = elements.sparkSession.sparkContext.broadcast(lexicon.counts), lexicon.least
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon = _lexicon(shared, least)
