@@ -28,7 +28,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from corpuscle.llm.common import spread
-from corpuscle.llm.vocabulary import damerau
 from corpuscle.session import cut_lineage
 
 LABELS, EDITS = ("PERSON", "ORG"), 2
@@ -38,6 +37,8 @@ TYPO_RATIO = 6
 ERROR, NICKNAME, INITIAL, SHORT, ACRONYM = 4.0, 1.0, 1.5, 0.7, 1.5
 #: The cost, in nats, of a further name beside the known ones, which a complete form pays to stand for itself.
 BIRTH = 9.0
+#: An anchor of more than two spellings is no mistyped one, unless the other has so many times as many.
+OFTENER = 4
 
 #: Honorifics and remarks that are no part of a name, and words that an acronym leaves out.
 TITLES = frozenset("mr mrs ms miss dr prof professor sir dame mme mlle herr frau sr sra ing eng hon rev ttl jr phd".split())
@@ -124,14 +125,58 @@ def shortened(word: str, edits: int = EDITS) -> set[str]:
     return {"".join(c for i, c in enumerate(word) if i not in left) for n in range(most + 1) for left in map(set, combinations(range(len(word)), n))}
 
 
-def errors(a: str, b: str, most: int = EDITS) -> int | None:
-    """The typing errors between two words, if plausible for their length."""
-    if a == b:
-        return 0
-    if abs(len(a) - len(b)) > most:
+#: The rows of a keyboard.
+KEYBOARD = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
+EXTRA, OTHER = 1.5, 2.5
+
+
+def neighbours() -> dict[str, str]:
+    """The keys beside each key, from the rows of a keyboard, each half a key to the right of the one above."""
+    near: dict[str, str] = {}
+    for k, row in enumerate(KEYBOARD):
+        for i, c in enumerate(row):
+            above = KEYBOARD[k - 1][i : i + 2] if k else ""
+            below = KEYBOARD[k + 1][max(0, i - 1) : i + 1] if k + 1 < len(KEYBOARD) else ""
+            near[c] = row[max(0, i - 1) : i] + row[i + 1 : i + 2] + above + below
+    return near
+
+
+NEAR = neighbours()
+
+
+def slips(written: str, meant: str) -> float:
+    """The cost, in errors, of typing ``meant`` as ``written``.
+
+    Leaving a letter out, doubling one, exchanging two and hitting the key beside cost one error each; another letter too
+    many costs ``EXTRA`` and another key ``OTHER``.
+    """
+    n, m = len(written), len(meant)
+    rows = [[0.0] * (m + 1) for _ in range(n + 1)]
+    for j in range(1, m + 1):
+        rows[0][j] = j
+    for i in range(1, n + 1):
+        a, before = written[i - 1], written[i - 2] if i > 1 else ""
+        rows[i][0] = rows[i - 1][0] + EXTRA
+        for j in range(1, m + 1):
+            b = meant[j - 1]
+            best = rows[i - 1][j - 1] + (0 if a == b else 1 if b in NEAR.get(a, "") else OTHER)
+            best = min(best, rows[i][j - 1] + 1, rows[i - 1][j] + (1 if a == before else EXTRA))
+            if i > 1 and j > 1 and a == meant[j - 2] and before == b and a != b:
+                best = min(best, rows[i - 2][j - 2] + 1)
+            rows[i][j] = best
+    return rows[n][m]
+
+
+def errors(written: str, meant: str, loose: bool = False) -> float | None:
+    """The typing errors between two words, if plausible for their length; ``loose`` where the words around agree."""
+    if written == meant:
+        return 0.0
+    if abs(len(written) - len(meant)) > EDITS or min(len(written), len(meant)) < 3:
         return None
-    d = damerau(a, b)
-    return d if d <= min(most, max(1, min(len(a), len(b)) // 3)) else None
+    short = min(len(written), len(meant))
+    most = EDITS + 0.5 if short >= (5 if loose else 6) else 1
+    found = slips(written, meant)
+    return found if found <= most else None
 
 
 def cost_of_given(given: str, letters: str, n_given: int, full: str, full_letters: str, n_full: int) -> float | None:
@@ -168,7 +213,7 @@ def cost_of_words(words: list[str], full: list[str]) -> float | None:
         return ACRONYM if sorted(words[0].strip(".")) == sorted(w[0] for w in full) else None
     if len(words) != len(full):
         return None
-    left, cost, edits = list(full), 0.0, 0
+    left, cost, edits = list(full), 0.0, 0.0
     for word in sorted(words, key=lambda w: (w not in full, -len(w))):
         if word in left:
             left.remove(word)
@@ -179,13 +224,13 @@ def cost_of_words(words: list[str], full: list[str]) -> float | None:
             left.remove(min(fits, key=lambda w: (not w.startswith(bare), len(w))))
             cost += SHORT
             continue
-        near = [(d, w) for w in left if (d := errors(bare, w))]
+        near = [(d, w) for w in left if (d := errors(bare, w, loose=True))]
         if not near:
             return None
         d, w = min(near)
         left.remove(w)
         edits += d
-    return cost + ERROR * edits if edits <= EDITS else None
+    return cost + ERROR * edits if edits <= EDITS + 0.5 else None
 
 
 def _in_order(short: str, word: str) -> bool:
@@ -244,17 +289,20 @@ def attributed(read: DataFrame) -> DataFrame:
         F.sum("n").alias("n"), F.array_sort(F.collect_set(F.nullif("letters", F.lit("")))).alias("middle"), F.min_by("form", F.struct(F.length("letters"), -F.col("n"), F.col("form"))).alias("to")
     )
     n_given = form.where("label = 'PERSON' AND given <> ''").groupBy("given").agg(F.count_distinct("anchor").alias("n_given"))
-    anchors = form.select("label", "anchor").distinct()
+    # a name of its own is spelled in several ways; a mistyped one rarely twice
+    spelled = read.groupBy("label", "anchor").agg(F.count("*").alias("n_spelled"))
+    anchors = spelled.select("label", "anchor")
     keys = F.udf(lambda w: sorted(shortened(w)), "array<string>")
     keyed = anchors.select("label", "anchor", F.explode(keys("anchor")).alias("key"))
     near = keyed.join(keyed.select("label", "key", F.col("anchor").alias("to_anchor")), ["label", "key"]).select("label", "anchor", "to_anchor").distinct()
     rank = base.select("label", "anchor", "given", "words", F.col("n").alias("own_n"), F.col("to").alias("own"))
+    form, base = form.join(spelled, ["label", "anchor"]), base.join(spelled, ["label", "anchor"])
     left = (
         form.join(n_given, "given", "left").join(rank, ["label", "anchor", "given", "words"], "left")
-        .select("form", *own, F.coalesce("n_given", F.lit(0)).alias("n_given"), F.coalesce("own_n", F.lit(0)).alias("own_n"), F.coalesce("own", F.lit("")).alias("own"))
+        .select("form", *own, "n_spelled", F.coalesce("n_given", F.lit(0)).alias("n_given"), F.coalesce("own_n", F.lit(0)).alias("own_n"), F.coalesce("own", F.lit("")).alias("own"))
     )
     right = base.join(n_given, "given", "left").select(
-        "label", F.col("anchor").alias("to_anchor"), F.col("given").alias("to_given"), F.col("words").alias("to_words"), F.col("n").alias("to_n"), F.concat_ws("", "middle").alias("to_letters"), "to", F.coalesce("n_given", F.lit(0)).alias("to_n_given")
+        "label", F.col("anchor").alias("to_anchor"), F.col("given").alias("to_given"), F.col("words").alias("to_words"), F.col("n").alias("to_n"), F.concat_ws("", "middle").alias("to_letters"), "to", F.col("n_spelled").alias("to_n_spelled"), F.coalesce("n_given", F.lit(0)).alias("to_n_given")
     )
     pairs = spread(left.join(near, ["label", "anchor"]).join(right, ["label", "to_anchor"]), "form")
 
@@ -266,15 +314,15 @@ def attributed(read: DataFrame) -> DataFrame:
                     out.append((r.form, r.to, log(r.to_n) - BIRTH))
                     continue
                 # towards the more frequent name only, so that attributions never go round
-                slips = errors(r.anchor, r.to_anchor) if (r.to_n, r.to) > (r.own_n, r.own) else None
-                if slips is None:
+                mistyped = errors(r.anchor, r.to_anchor) if (r.to_n, r.to) > (r.own_n, r.own) else None
+                if mistyped is None or (mistyped and r.n_spelled > 2 and r.n_spelled * OFTENER > r.to_n_spelled):
                     continue
                 if r.label == "PERSON":
                     cost = cost_of_given(r.given, r.letters, r.n_given, r.to_given, r.to_letters, r.to_n_given)
                 else:
                     cost = cost_of_words(list(r.words), list(r.to_words))
                 if cost is not None:
-                    out.append((r.form, r.to, log(r.to_n) - cost - ERROR * slips))
+                    out.append((r.form, r.to, log(r.to_n) - cost - ERROR * mistyped))
             yield pd.DataFrame(out, columns=["form", "to", "posterior"])
 
     scored = pairs.mapInPandas(run, "form string, to string, posterior double")
