@@ -36,12 +36,15 @@ ENDED = re.compile(rf"[{MARK}]{CLOSERS}$")
 REMARK = re.compile(rf"[{MARK}]{CLOSERS}\s*\([^()\n]*\)$")
 BROKEN_AMOUNT = re.compile(r"(?:US\$|\$|EUR|USD|€|£) ?\d{1,3}\.$")
 DOTS = ("...", "…")
+#: A tag or character reference that was begun and not ended.
+DANGLING = re.compile(r"(?:<[A-Za-z/]{0,8}|&(?:#\d*|am?p?|apo?s?|lt?|gt?|nb?s?p?|quo?t?)?)$")
 #: A line of running text or a sentence in a list ends so.
 LINE_ENDED = re.compile(rf"(?:[{MARK};:,…]{CLOSERS}|[{MARK}]{CLOSERS}\s*\([^()\n]*\))$")
 EARLIER = re.compile(rf"[{MARK}]{CLOSERS}\s+\S")
 BULLET = re.compile(r"(?:\d+[.)]|[-*•])\s")
-#: As many lines must begin alike for their endings to count; a line is usual if it occurs more often than ``RARE``.
-SEEN, RARE = 4, 1
+#: As many lines must begin alike for their endings to count; a longer line with a word broken off is so many times rarer;
+#: a line of more words than ``LINE`` after the end of a sentence is running text.
+SEEN, TIMES, LINE = 4, 20, 15
 
 
 class Successors:
@@ -76,11 +79,11 @@ def across(edges: DataFrame, key: str) -> DataFrame:
     """
     followed = edges.withColumn("next", F.lead("value").over(Window.orderBy("place"))).where(f"{key} is not null and next is not null")
     longer = followed.where(F.expr("startswith(next, value) and length(next) > length(value)"))
-    return longer.select(key, F.expr("substring(next, length(value) + 1, 1)").alias("after"))
+    return longer.select(key, "next", F.expr("substring(next, length(value) + 1, 1)").alias("after"))
 
 
 def strict_prefixes(values: DataFrame, value: str) -> DataFrame:
-    """``value`` and ``after`` (the first character that follows) of each value that begins a longer one.
+    """``value`` and ``longer`` (its successor) of each value that begins a longer one.
 
     Values are sorted over the cluster; only the first and last of each partition are compared across it.
     """
@@ -89,11 +92,11 @@ def strict_prefixes(values: DataFrame, value: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         successors = Successors()
         for batch in batches:
-            yield _batch([(*f, None, None) for v in batch.column(0).to_pylist() if (f := successors.take(v, v))], "sssl", ["key", "after", "value", "place"])
-        yield _batch([(k, None, v, p) for k, v, p in successors.edges()], "sssl", ["key", "after", "value", "place"])
+            yield _batch([(f[0], v, None, None) for v in batch.column(0).to_pylist() if (f := successors.take(v, v))], "sssl", ["key", "longer", "value", "place"])
+        yield _batch([(k, None, v, p) for k, v, p in successors.edges()], "sssl", ["key", "longer", "value", "place"])
 
-    swept = cut_lineage(parts.mapInArrow(run, "key string, after string, value string, place bigint"))
-    found = swept.where("place is null").select("key", "after").unionByName(across(swept.where("place is not null"), "key"))
+    swept = cut_lineage(parts.mapInArrow(run, "key string, longer string, value string, place bigint"))
+    found = swept.where("place is null").select("key", "longer").unionByName(across(swept.where("place is not null"), "key").select("key", F.col("next").alias("longer")))
     return found.withColumnRenamed("key", value)
 
 
@@ -120,7 +123,7 @@ def beginnings(form: str) -> tuple[str, str]:
 def ending(text: str) -> tuple[str, bool, bool, int] | None:
     """(form of the last line, certainly cut, a sentence ended earlier in it, its words) of a text without a final mark."""
     whole = text.rstrip(STRAY)
-    certain = whole.endswith(DOTS) or bool(BROKEN_AMOUNT.search(whole, max(0, len(whole) - 16)))
+    certain = whole.endswith(DOTS) or bool(BROKEN_AMOUNT.search(whole, max(0, len(whole) - 16)) or DANGLING.search(whole, max(0, len(whole) - 16)))
     line = " ".join(whole[whole.rfind("\n") + 1 :].strip(STRAY).split())
     if not line or not certain and (ENDED.search(line) or REMARK.search(line)):
         return None
@@ -204,19 +207,23 @@ def judged(documents: DataFrame, text: str = "text") -> DataFrame:
     """``text_id`` and ``evidence`` (copy, dots, sentence, line) of every distinct text that was cut."""
     seen = cut_lineage(swept(once_a_partition(documents, text)))
     open_ = seen.where("text_id is not null and form is not null").select("text_id", "form", "two", "one", "certain", "earlier", "n_words")
-    begins = seen.where("text_id is not null and after is not null").select("text_id", "after").unionByName(across(seen.where("place is not null"), "text_id"))
+    begins = seen.where("text_id is not null and after is not null").select("text_id", "after").unionByName(across(seen.where("place is not null"), "text_id").select("text_id", "after"))
     copies = begins.where(~F.col("after").isin("\n", "\r", " ")).select("text_id", F.lit(True).alias("copied"))
 
     begun = seen.where("two is not null and text_id is null")
     by_two = begun.groupBy("two").agg(F.sum("n").alias("n_two"), F.sum("n_marked").alias("marked_two"))
     by_one = begun.groupBy("one").agg(F.sum("n").alias("n_one"), F.sum("n_marked").alias("marked_one"))
     unmarked = cut_lineage(seen.where("form is not null and text_id is null").groupBy("form").agg(F.sum("n").alias("n_form")))
-    rare = strict_prefixes(unmarked, "form").join(unmarked.where(F.col("n_form") <= RARE), "form").select("form", F.lit(True).alias("unfinished"))
+    usual = unmarked.select(F.col("form").alias("longer"), F.col("n_form").alias("n_longer"))
+    begun_lines = strict_prefixes(unmarked, "form").join(unmarked, "form").join(usual, "longer")
+    broken_word = F.expr("substring(longer, length(form) + 1, 1)").rlike(r"\p{L}") & F.col("form").rlike(r"\p{L}$")
+    unfinished = (F.col("n_form") <= 1) | (broken_word & (F.col("n_form") * TIMES <= F.col("n_longer")))
+    rare = begun_lines.where(unfinished).select("form", F.lit(True).alias("unfinished"))
 
     keyed = looked_up(looked_up(open_, by_two, ["two"], "text_id"), by_one, ["one"], "text_id")
     # the line itself is among those that begin like it
     share = F.when(F.col("n_two") > SEEN, F.col("marked_two") / (F.col("n_two") - 1)).when(F.col("n_one") > SEEN, F.col("marked_one") / (F.col("n_one") - 1))
-    sentence = F.coalesce(share >= 0.5, F.col("earlier") | (F.col("n_words") > 3))
+    sentence = F.coalesce(share >= 0.5, F.col("earlier") | (F.col("n_words") > 3)) | (F.col("earlier") & (F.col("n_words") > LINE))
     verdicts = looked_up(keyed, rare, ["form"], "text_id").join(copies, "text_id", "left")
     evidence = F.when(F.col("copied"), "copy").when(F.col("certain"), "dots").when(sentence, "sentence").when(F.col("unfinished"), "line")
     return verdicts.select("text_id", evidence.alias("evidence")).where("evidence is not null")
