@@ -238,6 +238,15 @@ def _in_order(short: str, word: str) -> bool:
     return all(c in rest for c in short)
 
 
+def _mapped(function, kind: str):
+    """A function of a word as a function of columns, in Arrow batches."""
+
+    def run(words: pd.Series) -> pd.Series:
+        return words.map(function)
+
+    return F.pandas_udf(run, kind)
+
+
 def spellings(entities: DataFrame) -> DataFrame:
     """``label, surface, n``: distinct spellings, counted in part before the shuffle."""
     usable = F.col("label").isin(*LABELS) & F.col("surface").isNotNull() & (F.trim("surface") != "")
@@ -264,10 +273,10 @@ def forms(spelled: DataFrame) -> DataFrame:
     read = org.mapInPandas(words, f"{kind}, words array<string>")
     each = read.select("label", "surface", "n", "words", F.posexplode("words").alias("at", "word"))
     # how many spellings hold a word, one error aside: a mistyped frequent word isn't rare
-    near = F.udf(lambda w: list(shortened(w, 1)), "array<string>")
+    near = _mapped(lambda w: sorted(shortened(w, 1)), "array<string>")
     keyed = each.select("word").groupBy("word").agg(F.count("*").alias("n_word")).select("word", "n_word", F.explode(near("word")).alias("key"))
     frequent = keyed.select("word", "key").join(keyed.groupBy("key").agg(F.max("n_word").alias("most")), "key").groupBy("word").agg(F.max("most").alias("spread"))
-    able = F.udf(may_anchor, "boolean")
+    able = _mapped(may_anchor, "boolean")
     order = Window.partitionBy("surface").orderBy(F.desc("able"), "spread", F.desc(F.length("word")), "at")
     ranked = each.join(frequent, "word").withColumn("able", able("word")).withColumn("nth", F.row_number().over(order)).where("nth = 1")
     others = F.filter("words", lambda w, i: i != F.col("at"))
@@ -292,7 +301,7 @@ def attributed(read: DataFrame) -> DataFrame:
     # a name of its own is spelled in several ways; a mistyped one rarely twice
     spelled = read.groupBy("label", "anchor").agg(F.count("*").alias("n_spelled"))
     anchors = spelled.select("label", "anchor")
-    keys = F.udf(lambda w: sorted(shortened(w)), "array<string>")
+    keys = _mapped(lambda w: sorted(shortened(w)), "array<string>")
     keyed = anchors.select("label", "anchor", F.explode(keys("anchor")).alias("key"))
     near = keyed.join(keyed.select("label", "key", F.col("anchor").alias("to_anchor")), ["label", "key"]).select("label", "anchor", "to_anchor").distinct()
     rank = base.select("label", "anchor", "given", "words", F.col("n").alias("own_n"), F.col("to").alias("own"))
