@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from corpuscle.models import Embedder, hashed_embedding
 
+BLOCK = 256
+
 
 def embedded(rows: DataFrame, text: str = "text", embed: Embedder = hashed_embedding) -> DataFrame:
     """``rows`` with ``embedding`` of their text; null texts have none and are left out."""
@@ -30,21 +32,23 @@ def with_norm(rows: DataFrame, vector: str = "embedding") -> DataFrame:
     return rows.withColumn("norm", F.sqrt(_dot(F.col(vector), F.col(vector))))
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, same: str | None = None) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, same: str | None = None, block: int = BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` most similar vectors of each query by cosine, but for itself.
 
-    The queries are a stated set, broadcast in one row as an array if there are few; every vector is compared with each of
-    them where it is read, and each task passes on only its own best. ``same`` names a column in which both must agree.
-    Scores are rounded to six places before ranks are given, and ties go to the smaller id.
+    The queries are a stated set, taken in blocks of about ``block``: a single block is broadcast, as its size is bounded;
+    more blocks meet the vectors by the block's number. Each task passes on only its own best of each query. ``same`` names
+    a column in which both must agree. Scores are rounded to six places before ranks are given, and ties go to the smaller
+    id; vectors of length nought are like none.
     """
-    asked = with_norm(queries).where("norm > 0").select(F.struct(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.col("norm").alias("q_norm"), *([F.col(same).alias("q_same")] if same else [])).alias("a"))
+    asked = with_norm(queries).where("norm > 0")
     known = with_norm(vectors).where("norm > 0")
-    if same:
-        flat = asked.select("a.*")
-        pairs = known.join(flat, F.col(same) == F.col("q_same"))
-    else:
-        rows = asked.agg(F.collect_list("a").alias("asked"))
-        pairs = known.withColumn("asked", rows.scalar()).select(*known.columns, F.explode("asked").alias("a")).select(*known.columns, "a.*")
+    blocks = max(1, -(-queries.count() // block))
+    cell = F.struct(F.col("vec_id").alias("query_id"), F.col("embedding").alias("q"), F.col("norm").alias("q_norm"), *([F.col(same).alias("q_same")] if same else []))
+    rows = asked.groupBy(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).alias("block")).agg(F.collect_list(cell).alias("asked"))
+    placed = known.withColumn("block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    met = placed.join(F.broadcast(rows) if blocks == 1 else rows, "block")
+    fitting = F.filter("asked", lambda a: a["q_same"] == F.col(same)) if same else F.col("asked")
+    pairs = met.select("vec_id", "embedding", "norm", F.explode(fitting).alias("a")).select("vec_id", "embedding", "norm", "a.*")
     score = F.round(_dot(F.col("embedding"), F.col("q")) / (F.col("norm") * F.col("q_norm")), 6)
     scored = pairs.where("vec_id <> query_id").select("query_id", "vec_id", score.alias("score"))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -264,7 +264,7 @@ def chunk_markdown(spark, folder):
 @query
 def token_batches(spark, folder):
     rows = gazetteer.numbered(_entities(spark, folder).where("doc_id is not null"))
-    return windows.batches(rows, "doc_id", "position", F.col("surface"), 20).withColumns({"batch": F.col("batch").cast("bigint"), "tokens": F.col("tokens").cast("bigint")})
+    return windows.batches(rows, "doc_id", "position", F.col("surface"), 20)
 
 
 # ---- acronyms and entities ---------------------------------------------------------------------------------------------

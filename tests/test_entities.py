@@ -62,8 +62,8 @@ def test_nearest_against_brute_force(spark):
         dot = lambda x, y: sum(p * q for p, q in zip(x, y, strict=True))
         return round(dot(a, b) / (dot(a, a) ** 0.5 * dot(b, b) ** 0.5), 6)
 
-    for same in (None, "label"):
-        got = {(r.query_id, r.rank): r.vec_id for r in vectors.nearest(rows, rows.where("vec_id in (3, 7)"), 4, same).collect()}
+    for same, block in ((None, 256), ("label", 256), (None, 1), ("label", 1)):
+        got = {(r.query_id, r.rank): r.vec_id for r in vectors.nearest(rows, rows.where("vec_id in (3, 7)"), 4, same, block).collect()}
         for query in (3, 7):
             others = sorted((-cosine(v, vectors_[query][2]), i) for i, lab, v in vectors_ if i != query and any(v) and (not same or lab == vectors_[query][1]))
             assert [got[query, k + 1] for k in range(4)] == [i for _, i in others[:4]]
