@@ -5,7 +5,6 @@ from __future__ import annotations
 import html
 import json
 import re
-import unicodedata
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -19,12 +18,6 @@ def unescape(values: pd.Series) -> pd.Series:
     return values.map(lambda v: None if v is None else html.unescape(v).strip())
 
 
-@F.pandas_udf(T.StringType())
-def unaccent_all(values: pd.Series) -> pd.Series:
-    """Marks removed in every script, by canonical decomposition."""
-    return values.map(lambda v: None if v is None else "".join(c for c in unicodedata.normalize("NFD", v) if not unicodedata.combining(c)))
-
-
 class _FirstTable(HTMLParser):
     """The cells of the first table, row by row."""
 

@@ -35,11 +35,6 @@ def stripped(value: Column) -> Column:
     return F.regexp_replace(value, EDGES, "")
 
 
-def blank_to_null(value: Column) -> Column:
-    """Null for a null, empty or blank string."""
-    return F.when(stripped(value) != "", value)
-
-
 def sanitize_key(value: Column) -> Column:
     """A key for identifiers: no accents, blanks and hyphens as underscores, none at the ends; null for null and 'nan'."""
     key = F.regexp_replace(unaccent(value), r"(?U)\s+", "_")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuscle.functions.text import rdf_safe, without_query
@@ -42,19 +42,14 @@ def tokens(documents: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
 def mentions(documents: DataFrame, patterns: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key, start, length, label, id``: where the words of a pattern stand in a text.
 
-    Only the word runs as long as some pattern become rows, and only those whose first word begins one: the join is an
-    equality on the run, with no pass over all pairs of texts and patterns.
+    Each word of a text, with as many after it as the longest pattern has, meets the patterns that begin with it; so the
+    join is an equality, with no pass over all pairs of texts and patterns.
     """
-    usable = patterns.where(F.size("tokens") > 0).select("label", "id", F.array_join("tokens", " ").alias("run"), F.size("tokens").alias("length")).distinct()
-    lengths = sorted(r["length"] for r in usable.select("length").distinct().collect())  # a few small numbers
-
-    def runs_of(n: int) -> Column:
-        places = F.filter(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size("words") - n)), lambda i: i + n <= F.size("words"))
-        return F.transform(places, lambda i: F.struct(i.alias("start"), F.lit(n).alias("length"), F.array_join(F.slice("words", i + 1, F.lit(n)), " ").alias("run")))
-
-    runs = F.concat(*map(runs_of, lengths or [1]))
-    each = tokens(documents, key, text).where(F.size("words") > 0).select(key, F.explode(runs).alias("r")).select(key, "r.*")
-    return each.join(usable, ["run", "length"]).select(key, "start", "length", "label", "id")
+    usable = patterns.where(F.size("tokens") > 0).select("label", "id", "tokens", F.get("tokens", F.lit(0)).alias("first"), F.size("tokens").alias("length")).distinct()
+    most = usable.agg(F.max("length")).first()[0] or 1
+    cell = lambda w, i: F.struct(i.alias("start"), w.alias("first"), F.slice("words", i + 1, F.lit(most)).alias("run"))
+    each = tokens(documents, key, text).select(key, F.explode(F.transform("words", cell)).alias("r")).select(key, "r.*")
+    return each.join(usable, "first").where(F.slice("run", F.lit(1), F.col("length")) == F.col("tokens")).select(key, "start", "length", "label", "id")
 
 
 def resolved(found: DataFrame, key: str = "doc_id") -> DataFrame:

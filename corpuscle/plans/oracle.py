@@ -35,6 +35,13 @@ def safe(c: str) -> str:
     return f"nullif(substring(replace(url_encode(replace({c}, ' ', '_')), '%2F', '/'), 1, 100), '')"
 
 
+def reference(c: str) -> str:
+    """The character references that occur in the tables, as their characters."""
+    for name, char in (("nbsp", "chr(160)"), ("lt", "'<'"), ("gt", "'>'"), ("quot", "'\"'"), ("#39", "chr(39)"), ("amp", "'&'")):
+        c = f"replace({c}, '&{name};', {char})"
+    return c
+
+
 def date(c: str) -> str:
     return f"coalesce(try_strptime({c}, '%Y-%m-%dT%H:%M:%SZ'), try_strptime({c}, '%Y-%m-%d'), try_strptime({c}, '%d/%m/%Y'))"
 
@@ -190,6 +197,10 @@ def oracle_sql() -> dict[str, str]:
     token = r"[\p{L}\p{N}]+(?:[-''’][\p{L}\p{N}]+)*"
     doc_facts = f"WITH {LATEST}, graph AS ({graph(*DOCUMENTS)})"
     escaped = "replace(replace(replace(replace(replace(o, '\\', '\\\\'), '\"', '\\\"'), chr(10), '\\n'), chr(13), '\\r'), chr(9), '\\t')"
+    reached = """links AS (SELECT DISTINCT a.entity AS x, b.entity AS y FROM pairs a JOIN pairs b USING (doc_id)),
+        reach AS (SELECT x AS e, x AS r FROM links UNION SELECT reach.e, y FROM reach JOIN links ON x = r),
+        least AS (SELECT e, min(doc_id) AS component, count(DISTINCT doc_id) AS n FROM reach JOIN pairs ON pairs.entity = r GROUP BY e),
+        found AS (SELECT DISTINCT doc_id AS node, component FROM pairs JOIN least ON entity = e WHERE n > 1)"""
     explained = f"{ACRONYMS}, pairs AS (SELECT DISTINCT doc_id, short || '=' || long AS entity FROM of_chunks)"
     return {
         "metadata_latest_version": f"WITH {VERSIONS} SELECT * EXCLUDE (fetched_at) FROM newest",
@@ -236,6 +247,8 @@ def oracle_sql() -> dict[str, str]:
         "group_into_windows": f"WITH {GROUPS} SELECT * FROM groups",
         "chunk_markdown": f"WITH {GROUPS} SELECT doc_id, ordinal, '## Chunk ' || (ordinal + 1) || chr(10) || chr(10) || text || chr(10) || chr(10) || '---' || chr(10) || chr(10) AS text FROM groups",
         "token_batches": batch,
+        "clean_acronyms": rf"""WITH {ACRONYMS} SELECT doc_id, short, {strip(reference('long'))} AS long FROM of_chunks
+            WHERE len(short) >= 2 AND len(regexp_replace(short, '[^\p{{Lu}}]', '', 'g'))::DOUBLE / len(short) >= 0.5""",
         "merge_acronyms": f"""WITH {ACRONYMS}, {INITIALS} SELECT doc_id, short, coalesce(a.long, b.long) AS long, coalesce(a.long <> b.long, false) AS conflict FROM of_chunks a FULL JOIN initials b USING (doc_id, short)""",
         "invert_acronyms": f"""WITH {ACRONYMS}, {INITIALS}, both_ AS (SELECT doc_id, long, short, 0 AS rank FROM of_chunks UNION ALL SELECT doc_id, long, short, 1 FROM initials)
             SELECT doc_id, long, short FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, long ORDER BY rank, short) AS nth FROM both_ WHERE long IS NOT NULL) WHERE nth = 1""",
@@ -277,6 +290,8 @@ def oracle_sql() -> dict[str, str]:
         "chunk_graph_edges": f"""WITH {CHUNKS}, members AS (SELECT DISTINCT chunk_id, coalesce(nullif(e.qid, ''), nullif(e.rdf_safe, '')) AS entity FROM (SELECT chunk_id, unnest(entities) AS e FROM chunks))
             {shared_edges('members', 'chunk_id')}""",
         "acronym_graph_edges": f"WITH {explained} {shared_edges('pairs', 'doc_id')}",
+        "graph_components": f"WITH RECURSIVE {explained}, {reached} SELECT node, component FROM found",
+        "community_sizes": f"WITH RECURSIVE {explained}, {reached} SELECT component, count(*) AS n FROM found GROUP BY 1 ORDER BY n DESC, component LIMIT 10",
         "community_context": f"WITH {WITHIN} SELECT community, chunk_id, tokens, tokens_so_far FROM within",
         "community_texts": f"WITH {WITHIN} SELECT community, count(*) AS n_texts, string_agg(text, chr(10) || chr(10) ORDER BY chunk_id) AS context FROM within GROUP BY 1",
         "community_triples": f"WITH {MEMBERS} {graph(*COMMUNITY_FACTS)}",

@@ -69,6 +69,30 @@ def test_stream_keeps_the_latest(spark, tmp_path, data):
     assert sorted(map(str, ingest.current(spark, str(tmp_path / "out")).select(*want.columns).collect())) == sorted(map(str, want.collect()))
 
 
+def test_artifacts_and_tagger(spark, tmp_path):
+    from corpuscle.models import capitalised_phrases
+    from corpuscle.operators import gazetteer, vectors
+
+    (tmp_path / "7.md").write_text("# Title\nWorld Bank Group met.")
+    (tmp_path / "7.pdf").write_bytes(b"%PDF")
+    found = readers.artifacts(spark, str(tmp_path))
+    assert [tuple(r) for r in found.collect()] == [("7", "# Title\nWorld Bank Group met.")]
+    assert [r.length for r in readers.pdf_files(spark, str(tmp_path)).collect()] == [4]
+    assert [tuple(r) for r in gazetteer.tagged(found, capitalised_phrases, "name").collect()] == [("7", "World Bank Group", "ORG")]
+    assert vectors.new_only(found, spark.createDataFrame([("7",)], "name string"), "name").count() == 0
+
+
+def test_stream_of_elements(spark, tmp_path, data):
+    from corpuscle.operators import sections
+
+    arrivals = spark.read.parquet(f"{data}/content_list.parquet")
+    arrivals.repartition(1).write.parquet(str(tmp_path / "in"))
+    query = ingest.chunk_arrivals(ingest.files(spark, str(tmp_path / "in"), arrivals), str(tmp_path / "out"), str(tmp_path / "check"))
+    query.awaitTermination()
+    got, want = ingest.newest_chunks(spark, str(tmp_path / "out")), sections.chunks(arrivals)
+    assert sorted(r.chunk_id for r in got.collect()) == sorted(r.chunk_id for r in want.collect())
+
+
 def test_whole_pipeline(spark, data):
     from pyspark.sql import functions as F
 
