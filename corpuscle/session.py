@@ -28,8 +28,11 @@ def checkpoint_folder(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    folder = configured or Path(tempfile.gettempdir(), "corpuscle-checkpoints").as_uri()
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        folder = Path(tempfile.gettempdir(), "corpuscle-checkpoints").as_uri()
     sc.setCheckpointDir(folder)
     return folder
 

@@ -28,27 +28,27 @@ def test_scrape_takes_the_last_link(spark):
 
 
 def test_label_filter(spark):
-    rows = spark.createDataFrame([(1, 1, "World Bank", "ORG", None), (2, 1, "2020", "DATE", None), (3, 1, "STEP", "ACRONYM", None), (3, 1, "STEP", "ACRONYM", None), (4, 1, " ", "ORG", None), (5, 1, "x", None, None)], "entity_id bigint, doc_id bigint, surface string, label string, qid string")
-    assert sorted(r.surface for r in gazetteer.entities(rows).collect()) == ["STEP", "World Bank"]
+    rows = spark.createDataFrame([(1, 1, "Global Bank", "ORG", None), (2, 1, "2020", "DATE", None), (3, 1, "STEP", "ACRONYM", None), (3, 1, "STEP", "ACRONYM", None), (4, 1, " ", "ORG", None), (5, 1, "x", None, None)], "entity_id bigint, doc_id bigint, surface string, label string, qid string")
+    assert sorted(r.surface for r in gazetteer.entities(rows).collect()) == ["STEP", "Global Bank"]
 
 
 def test_cascade_and_cache(spark):
-    labels = spark.createDataFrame([("Q1", "World Bank"), ("Q0", "World Bank"), ("Q2", "Ministry of Energy")], "qid string, label string")
-    mentions = spark.createDataFrame([("World Bank", "ORG"), ("Ministry of Enegy", "ORG"), ("Elsewhere", "GPE"), ("<b>123</b>", "ORG")], "surface string, label string")
+    labels = spark.createDataFrame([("Q1", "Global Bank"), ("Q0", "Global Bank"), ("Q2", "Ministry of Energy")], "qid string, label string")
+    mentions = spark.createDataFrame([("Global Bank", "ORG"), ("Ministry of Enegy", "ORG"), ("Elsewhere", "GPE"), ("<b>123</b>", "ORG")], "surface string, label string")
     wanted = linker.lookups(mentions)
     got = {r.name: (r.qid, r.how) for r in linker.cascade(wanted, labels, 2).collect()}
-    assert got == {"World Bank": ("Q0", "exact"), "Ministry of Enegy": ("Q2", "fuzzy"), "Elsewhere": (None, None)}
-    cache = linker.cache_entries(spark.createDataFrame([("World Bank|ORG", "http://x/Q9"), ("elsewhere|gpe", None), ("nobar", "u")], "key string, url string"))
+    assert got == {"Global Bank": ("Q0", "exact"), "Ministry of Enegy": ("Q2", "fuzzy"), "Elsewhere": (None, None)}
+    cache = linker.cache_entries(spark.createDataFrame([("Global Bank|ORG", "http://x/Q9"), ("elsewhere|gpe", None), ("nobar", "u")], "key string, url string"))
     assert {r.name for r in linker.with_cache(wanted, cache, "literal").collect()} == {"Ministry of Enegy"}
-    assert {r.name: (r.qid, r.known) for r in linker.with_cache(wanted, cache).collect()} == {"World Bank": ("Q9", True), "Elsewhere": (None, True), "Ministry of Enegy": (None, False)}
+    assert {r.name: (r.qid, r.known) for r in linker.with_cache(wanted, cache).collect()} == {"Global Bank": ("Q9", True), "Elsewhere": (None, True), "Ministry of Enegy": (None, False)}
 
 
 def test_annotation(spark):
-    chunks = spark.createDataFrame([(1, 1, "The World Bank funds SEMARNAT programs and STEP initiatives."), (2, 1, "Completely unrelated text"), (3, 2, "World Bank"), (4, 1, None)], "chunk_id bigint, doc_id bigint, text string")
-    entities = spark.createDataFrame([(1, "world bank", "ORG", None), (1, "SEMARNAT", "ORG", None), (1, "", "ORG", None)], "doc_id bigint, surface string, label string, qid string")
+    chunks = spark.createDataFrame([(1, 1, "The Global Bank funds SEMARNAT programs and STEP initiatives."), (2, 1, "Completely unrelated text"), (3, 2, "Global Bank"), (4, 1, None)], "chunk_id bigint, doc_id bigint, text string")
+    entities = spark.createDataFrame([(1, "global bank", "ORG", None), (1, "SEMARNAT", "ORG", None), (1, "", "ORG", None)], "doc_id bigint, surface string, label string, qid string")
     short = spark.createDataFrame([(1, "STEP", ""), (1, "ZZ", None)], "doc_id bigint, short string, long string")
     got = {r.chunk_id: ([a.short for a in r.acronyms], [e.surface for e in r.entities]) for r in annotate.annotated(chunks, short, entities).collect()}
-    assert got == {1: (["STEP"], ["SEMARNAT", "world bank"]), 2: ([], []), 3: ([], []), 4: ([], [])}
+    assert got == {1: (["STEP"], ["SEMARNAT", "global bank"]), 2: ([], []), 3: ([], []), 4: ([], [])}
 
 
 def test_nearest_against_brute_force(spark):
@@ -85,7 +85,7 @@ def test_summaries_and_chat(spark):
 
 def answer_links(prompts):
     """A model's answers, one of them spoilt."""
-    return ['Here: [["World Bank", "ORG", "Q7164", 5], ["X", "ORG", "None", "None"], ["short"], ["Y", "LOC", null, 1]]' if "World Bank" in p else "sorry" for p in prompts]
+    return ['Here: [["Global Bank", "ORG", "Q7164", 5], ["X", "ORG", "None", "None"], ["short"], ["Y", "LOC", null, 1]]' if "Global Bank" in p else "sorry" for p in prompts]
 
 
 def answer_acronyms(prompts):
@@ -93,9 +93,9 @@ def answer_acronyms(prompts):
 
 
 def test_models(spark):
-    batches = spark.createDataFrame([(0, ["World Bank (ORG)"]), (1, ["Else (LOC)"])], "batch int, lines array<string>")
+    batches = spark.createDataFrame([(0, ["Global Bank (ORG)"]), (1, ["Else (LOC)"])], "batch int, lines array<string>")
     got = {r["name"]: (r.qid, r.confidence) for r in linker.by_model(batches, answer_links).collect()}
-    assert got == {"World Bank": ("Q7164", 5), "X": (None, None), "Y": (None, 1)}
+    assert got == {"Global Bank": ("Q7164", 5), "X": (None, None), "Y": (None, 1)}
     docs = spark.createDataFrame([(1, "About AI."), (2, None), (3, "else")], "doc_id bigint, text string")
     assert [tuple(r) for r in acronyms.by_model(docs, answer_acronyms).collect()] == [(1, "AI", "Artificial Intelligence")]
     assert linker.allowed_classes(spark).count() == 21

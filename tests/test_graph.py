@@ -36,9 +36,9 @@ def test_zip_and_links(spark):
 
 
 def test_entities_and_identifiers(spark):
-    rows = spark.createDataFrame([(1, "World Bank", "ORG", None, "World_Bank"), (1, "World Bank", "ORG", None, "World_Bank"), (1, "UN", "ORG", "Q1", "Q1"), (1, "", "ORG", None, "x"), (None, "A", "ORG", None, "A")], "doc_id bigint, surface string, label string, qid string, safe string")
+    rows = spark.createDataFrame([(1, "Global Bank", "ORG", None, "Global_Bank"), (1, "Global Bank", "ORG", None, "Global_Bank"), (1, "UN", "ORG", "Q1", "Q1"), (1, "", "ORG", None, "x"), (None, "A", "ORG", None, "A")], "doc_id bigint, surface string, label string, qid string, safe string")
     graph = triples.entity_triples(rows)
-    assert {r.o for r in triples.with_predicate(graph, triples.MENTIONS).collect()} == {triples.EX + "entity/World_Bank", triples.WD + "Q1"}
+    assert {r.o for r in triples.with_predicate(graph, triples.MENTIONS).collect()} == {triples.EX + "entity/Global_Bank", triples.WD + "Q1"}
     assert graph.count() == 2 * 3 + 2
 
 

@@ -73,12 +73,12 @@ def test_artifacts_and_tagger(spark, tmp_path):
     from corpuscle.models import capitalised_phrases
     from corpuscle.operators import gazetteer, vectors
 
-    (tmp_path / "7.md").write_text("# Title\nWorld Bank Group met.")
+    (tmp_path / "7.md").write_text("# Title\nGlobal Bank Group met.")
     (tmp_path / "7.pdf").write_bytes(b"%PDF")
     found = readers.artifacts(spark, str(tmp_path))
-    assert [tuple(r) for r in found.collect()] == [("7", "# Title\nWorld Bank Group met.")]
+    assert [tuple(r) for r in found.collect()] == [("7", "# Title\nGlobal Bank Group met.")]
     assert [r.length for r in readers.pdf_files(spark, str(tmp_path)).collect()] == [4]
-    assert [tuple(r) for r in gazetteer.tagged(found, capitalised_phrases, "name").collect()] == [("7", "World Bank Group", "ORG")]
+    assert [tuple(r) for r in gazetteer.tagged(found, capitalised_phrases, "name").collect()] == [("7", "Global Bank Group", "ORG")]
     assert vectors.new_only(found, spark.createDataFrame([("7",)], "name string"), "name").count() == 0
 
 
