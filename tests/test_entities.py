@@ -29,7 +29,7 @@ def test_scrape_takes_the_last_link(spark):
 
 def test_label_filter(spark):
     rows = spark.createDataFrame([(1, 1, "Global Bank", "ORG", None), (2, 1, "2020", "DATE", None), (3, 1, "STEP", "ACRONYM", None), (3, 1, "STEP", "ACRONYM", None), (4, 1, " ", "ORG", None), (5, 1, "x", None, None)], "entity_id bigint, doc_id bigint, surface string, label string, qid string")
-    assert sorted(r.surface for r in gazetteer.entities(rows).collect()) == ["STEP", "Global Bank"]
+    assert sorted(r.surface for r in gazetteer.entities(rows).collect()) == ["Global Bank", "STEP"]
 
 
 def test_cascade_and_cache(spark):
