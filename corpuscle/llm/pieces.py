@@ -85,7 +85,7 @@ def tail(text: str, overlap: int = OVERLAP) -> str:
 
 
 def section_elements(content: DataFrame) -> DataFrame:
-    """``doc_id, pos, section, text`` of every element once; ``section`` is the position of its section's first element.
+    """``doc_id, stretch, pos, section, text`` of every element once; ``section`` is the position of its section's first element.
 
     A section starts at a document's first element and at each element of type text with a level.
     """
@@ -101,7 +101,7 @@ def section_elements(content: DataFrame) -> DataFrame:
     # one row a position, of the same partitioning as the windows before and after it
     elements = placed.withColumn("nth", F.row_number().over(once)).where("nth = 1").withColumn("start_within", F.max(starts).over(within))
     return elements.join(carried, ["doc_id", "stretch"]).select(
-        "doc_id", "pos", F.coalesce("start_within", "carried").alias("section"), F.when(F.col("type") == "text", F.coalesce("text", F.lit(""))).alias("text")
+        "doc_id", "stretch", "pos", F.coalesce("start_within", "carried").alias("section"), F.when(F.col("type") == "text", F.coalesce("text", F.lit(""))).alias("text")
     )
 
 
@@ -116,16 +116,19 @@ def pieces(content: DataFrame, above: int = SIZE_ABOVE, most: int = PIECE, overl
     ``pos`` is the section's first element, ``piece`` counts within a ``block``, ``start`` is where the piece's own text
     starts in its block; (block, piece) orders the pieces of a section. Elements are joined by line ends.
     """
-    elements = section_elements(content)
-    grouped = (
-        elements.where("text is not null").groupBy("doc_id", "section", F.floor(F.col("pos") / block).alias("block"))
-        .agg(F.sum(F.length("text")).alias("block_size"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("parts"))
-    )
-    section = Window.partitionBy("doc_id", "section")
-    sized = grouped.withColumn("size", F.sum("block_size").over(section)).where(F.col("size") > above)
-    joined = sized.select("doc_id", "section", "size", "block", F.array_join(F.transform(F.filter("parts", lambda p: p["text"] != ""), lambda p: p["text"]), "\n").alias("text"))
-    before = F.lag(F.right("text", F.lit(overlap + 1))).over(section.orderBy("block"))
-    ready = joined.select("doc_id", "section", "size", "block", "text", F.coalesce(before, F.lit("")).alias("before"))
+    elements = section_elements(content).where("text is not null")
+    # sizes first, so that only the texts of the sections in question are moved again
+    lengths = elements.groupBy("doc_id", "stretch", "section").agg(F.sum(F.length("text")).alias("length"))
+    sizes = lengths.groupBy("doc_id", "section").agg(F.sum("length").alias("size")).where(F.col("size") > above)
+    marked = lengths.join(sizes, ["doc_id", "section"]).select("doc_id", "stretch", F.col("section").alias("large"), "size")
+    # the last condition is written so as to be no key of the join: the elements stay where they are, by document and stretch
+    own = (F.col("e.doc_id") == F.col("m.doc_id")) & (F.col("e.stretch") == F.col("m.stretch")) & (F.col("e.section") - F.col("m.large") == 0)
+    kept = elements.alias("e").join(marked.alias("m"), own).select("e.doc_id", "e.section", "m.size", F.floor(F.col("e.pos") / block).alias("block"), "e.pos", "e.text")
+    grouped = kept.groupBy("doc_id", "section", "block").agg(F.max("size").alias("size"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("parts"))
+    joined = grouped.select("doc_id", "section", "block", "size", F.array_join(F.transform(F.filter("parts", lambda p: p["text"] != ""), lambda p: p["text"]), "\n").alias("text"))
+    tails = joined.select("doc_id", "section", "block", F.right("text", F.lit(overlap + 1)).alias("tail"))
+    before = tails.select("doc_id", "section", "block", F.lag("tail").over(Window.partitionBy("doc_id", "section").orderBy("block")).alias("before"))
+    ready = joined.join(before, ["doc_id", "section", "block"]).select("doc_id", "section", "size", "block", "text", F.coalesce("before", F.lit("")).alias("before"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
