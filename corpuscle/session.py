@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,3 +46,24 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """
     checkpoint_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written_table(df: DataFrame) -> DataFrame:
+    """``df`` written to a compressed table in the checkpoint folder and read from there.
+
+    Where several parts of a plan read the same rows it takes less room than a checkpoint, and readers take only the columns
+    they need. The table is deleted when the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    atexit.register(_delete, spark, path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    try:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    except Exception:  # the session is gone, and the folder is the cluster's to clean
+        pass
