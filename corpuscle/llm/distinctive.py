@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuscle.llm.common import term
+from corpuscle.session import written_table
 
 OWN_SHARE, ROUNDS = 0.1, 30
 
@@ -47,11 +48,10 @@ def chunk_terms(chunk: DataFrame) -> DataFrame:
 def record_counts(chunk: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``record, kind, term, n_doc, n_all`` (the chunks that hold a term, in the document and in all) and ``kind, n_kind``.
 
-    Counts are made by document before they are joined, so that a term of very many chunks has one row a document. A
-    missing doc_id is no null of ``record``: a filter on it would reach below the first count and keep its shuffle from
-    being used by all that read it.
+    Counts are made by document before they are joined, so that a term of very many chunks has one row a document. They are
+    written once, as all that follows reads them.
     """
-    by_doc = chunk_terms(chunk).groupBy("record", "kind", "term").agg(F.count("*").alias("n_doc"))
+    by_doc = written_table(chunk_terms(chunk).groupBy("record", "kind", "term").agg(F.count("*").alias("n_doc")))
     overall = by_doc.groupBy("kind", "term").agg(F.sum("n_doc").alias("n_all"))
     totals = by_doc.groupBy("kind").agg(F.sum("n_doc").alias("n_kind"))
     return by_doc.join(overall, ["kind", "term"]), totals
