@@ -482,8 +482,7 @@ def graph_components(spark, folder):
 
 @query
 def communities(spark, folder):
-    members = _explained(spark, folder)
-    return cograph.communities(cograph.edges(members, "doc_id"), of=cograph.member_components(members, "doc_id"))
+    return cograph.communities(cograph.edges(_explained(spark, folder), "doc_id"))
 
 
 @query

@@ -64,7 +64,7 @@ def run(
     numbers = chunks.select("chunk_id").distinct().withColumn("node", F.xxhash64("chunk_id"))
     members = safe.join(numbers, "chunk_id").select(F.col("node"), F.col("safe").alias("entity")).distinct()
     edges = cut_lineage(cograph.edges(members, "node"))
-    found = cut_lineage(cograph.communities(edges, of=cograph.member_components(members, "node")))
+    found = cut_lineage(cograph.communities(edges))
     texts = chunks.join(numbers, "chunk_id").select(F.col("node").alias("chunk_id"), "text")
     abstracts = cut_lineage(summaries.summarised(summaries.contexts(summaries.members_within(found, texts, budget)), chat=chat))
     graph = triples.union(built, summaries.community_triples(found), summaries.summary_triples(abstracts))

@@ -101,6 +101,16 @@ def test_communities_stay_within_components(spark, large):
         assert nodes[n] == nodes[c]
 
 
+def test_communities_are_the_same_wherever_they_are_found(spark):
+    random = Random(11)
+    weights = {(a, b): random.randint(1, 3) for a in range(80) for b in range(a + 1, 80) if random.random() < (0.5 if a // 16 == b // 16 else 0.03)}
+    pairs = [(u, v, w) for (u, v), w in weights.items()]
+    graph = spark.createDataFrame(pairs, "u bigint, v bigint, weight bigint")
+    one, spread = ({r.node: r.community for r in cograph.communities(graph, large=n).collect()} for n in (1_000_000, 1))
+    assert one == spread == cograph.partition(pairs)
+    assert {frozenset(n for n in one if one[n] == c) for c in set(one.values())} == {frozenset(range(a, a + 16)) for a in range(0, 80, 16)}
+
+
 def test_closure(spark):
     edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(9)] + [("x", "n3"), ("c1", "c2"), ("c2", "c1"), (None, "n1")], "child string, parent string")
     got = {(r.node, r.ancestor) for r in closure(edges).collect()}
