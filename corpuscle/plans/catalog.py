@@ -480,9 +480,14 @@ def graph_components(spark, folder):
     return cograph.member_components(_explained(spark, folder), "doc_id")
 
 
+@query
+def chunk_components(spark, folder):
+    return cograph.member_components(cograph.chunk_entities(table(spark, folder, "chunk")))
+
+
 @query
 def communities(spark, folder):
-    return cograph.communities(cograph.edges(_explained(spark, folder), "doc_id"))
+    return cograph.communities(chunk_graph_edges(spark, folder))
 
 
 @query
@@ -490,6 +495,11 @@ def community_sizes(spark, folder):
     return cograph.largest(cograph.member_components(_explained(spark, folder), "doc_id"), "component")
 
 
+@query
+def chunk_community_sizes(spark, folder):
+    return cograph.largest(communities(spark, folder))
+
+
 def _texts(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "documents").where("doc_id is not null").select(F.col("doc_id").alias("chunk_id"), "text")
 
@@ -513,7 +523,7 @@ def community_texts(spark, folder):
 
 @query
 def community_summaries(spark, folder):
-    return summaries.summarised(community_texts(spark, folder), chat=leading_sentences)
+    return summaries.summarised(chunk_community_texts(spark, folder), chat=leading_sentences)
 
 
 @query
@@ -531,6 +541,37 @@ def community_docs_new(spark, folder):
     return summaries.community_documents(graph, stored)
 
 
+def _within(spark: SparkSession, folder: str) -> DataFrame:
+    """The texts of the chunk graph's communities, within the budget."""
+    return summaries.members_within(communities(spark, folder), _once(table(spark, folder, "chunk")))
+
+
+@query
+def chunk_community_context(spark, folder):
+    return _within(spark, folder).select("community", "chunk_id", "tokens", "tokens_so_far")
+
+
+@query
+def chunk_community_texts(spark, folder):
+    return summaries.contexts(_within(spark, folder))
+
+
+@query
+def chunk_community_triples(spark, folder):
+    return summaries.community_triples(communities(spark, folder))
+
+
+@query
+def chunk_community_docs_new(spark, folder):
+    chunk, found = _once(table(spark, folder, "chunk")), communities(spark, folder)
+    abstracts = summaries.summarised(summaries.contexts(summaries.members_within(found, chunk)), chat=leading_sentences)
+    graph = summaries.community_triples(found).unionByName(summaries.summary_triples(abstracts))
+    # those named after a chunk of a document without a kind are stored already
+    kindless = table(spark, folder, "documents").where("docty is null").select("doc_id").distinct()
+    stored = chunk.join(kindless, "doc_id").select(F.concat(F.lit("community-"), F.col("chunk_id").cast("string")).alias("id"))
+    return summaries.community_documents(graph, stored)
+
+
 # ---- vectors and chat --------------------------------------------------------------------------------------------------
 
 

@@ -5,6 +5,7 @@ import pytest
 
 from corpuscle.operators import cograph, metadata, triples
 from corpuscle.operators.linker import closure, fuzzy
+from corpuscle.plans import catalog
 
 RECORD = "id string, display_title string, last_modified_date string, docty string, count string, trustfund string, trustfund_key string, projn string, projectid string, owner string, pdfurl string, year string"
 
@@ -111,6 +112,16 @@ def test_communities_are_the_same_wherever_they_are_found(spark):
     assert {frozenset(n for n in one if one[n] == c) for c in set(one.values())} == {frozenset(range(a, a + 16)) for a in range(0, 80, 16)}
 
 
+def test_chunks_have_components_and_communities(spark, data):
+    edges = [(r.u, r.v) for r in catalog.chunk_graph_edges(spark, data).collect()]
+    brute = brute_components(edges)
+    assert {r.node: r.component for r in catalog.chunk_components(spark, data).collect()} == brute
+    found = {r.node: r.community for r in catalog.communities(spark, data).collect()}
+    assert set(found) == set(brute) and all(brute[n] == brute[c] for n, c in found.items())
+    abstracts = {r.community for r in catalog.community_summaries(spark, data).collect()}
+    assert abstracts and abstracts <= set(found.values())
+
+
 def test_closure(spark):
     edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(9)] + [("x", "n3"), ("c1", "c2"), ("c2", "c1"), (None, "n1")], "child string, parent string")
     got = {(r.node, r.ancestor) for r in closure(edges).collect()}
