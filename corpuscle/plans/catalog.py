@@ -57,6 +57,11 @@ def clean_text(spark, folder):
     return table(spark, folder, "documents").where("lang in ('en', 'fr', 'es', 'pt')").select("doc_id", x.clean_text(F.col("text")).alias("cleaned"))
 
 
+@query
+def clean_text_all(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", x.clean_text(F.col("text")).alias("cleaned"))
+
+
 @query
 def sanitize_entities(spark, folder):
     rows = table(spark, folder, "entities").where("surface is not null").select("surface").distinct()

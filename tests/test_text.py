@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions import pandas_text as p
 from corpuscle.functions import text as x
+from corpuscle.plans import catalog
 
 
 def apply(spark, function, values):
@@ -39,6 +40,13 @@ def test_clean_text_and_lists(spark):
     assert apply(spark, x.token_count, ["Hello, world!", None, "a_b c"]) == [4, 0, 2]
 
 
+def test_every_document_is_cleaned(spark, tmp_path):
+    rows = [(1, "é  a", "en"), (2, "ё\n中 文", "zh"), (3, "b ", None), (4, None, "und"), (5, "Ä", "EN"), (6, "كَتَبَ", "ar"), (7, "ỗ", "en-GB")]
+    spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.cleaned for r in catalog.clean_text_all(spark, str(tmp_path)).collect()}
+    assert got == {1: "e a", 2: "е 中 文", 3: "b", 4: None, 5: "A", 6: "كتب", 7: "o"}
+
+
 def test_dates(spark):
     got = apply(spark, x.parsed_date, ["2017-03-04T08:08:36Z", "2016-12-06", "01/07/2017", "", None, "soon"])
     assert [g and g.isoformat() for g in got] == ["2017-03-04T08:08:36", "2016-12-06T00:00:00", "2017-07-01T00:00:00", None, None, None]
