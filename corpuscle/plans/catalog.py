@@ -382,6 +382,24 @@ def fuzzy_candidates(spark, folder):
     return found.withColumns({"rank": F.col("rank").cast("bigint"), "distance": F.col("distance").cast("bigint")})
 
 
+def _all_lookups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Every name to look up, and all that is known: labels of the knowledge base and the vocabulary's terms, which have no accents."""
+    name = F.when(F.col("label") == "UNBIS_TERM", x.unaccent(F.col("name"))).otherwise(F.col("name"))
+    terms = table(spark, folder, "unbis_vocab").select(F.col("id").alias("qid"), F.col("pattern").alias("label"))
+    return linker.lookups(_entities(spark, folder)).withColumn("name", name), _labels(spark, folder).unionByName(terms)
+
+
+@query
+def link_cascade_all(spark, folder):
+    return linker.cascade(*_all_lookups(spark, folder), 2)
+
+
+@query
+def fuzzy_candidates_all(spark, folder):
+    found = linker.fuzzy(*_all_lookups(spark, folder))
+    return found.withColumns({"rank": F.col("rank").cast("bigint"), "distance": F.col("distance").cast("bigint")})
+
+
 def _tree(spark: SparkSession, folder: str) -> DataFrame:
     nation, region = table(spark, folder, "nation"), table(spark, folder, "region")
     low = nation.join(region, nation.n_regionkey == region.r_regionkey).select(F.col("n_name").alias("child"), F.col("r_name").alias("parent"))

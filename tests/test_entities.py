@@ -1,4 +1,5 @@
 from corpuscle.operators import acronyms, annotate, chat, gazetteer, linker, summaries, vectors
+from corpuscle.plans import catalog
 
 
 def test_acronyms(spark):
@@ -99,3 +100,13 @@ def test_models(spark):
     docs = spark.createDataFrame([(1, "About AI."), (2, None), (3, "else")], "doc_id bigint, text string")
     assert [tuple(r) for r in acronyms.by_model(docs, answer_acronyms).collect()] == [(1, "AI", "Artificial Intelligence")]
     assert linker.allowed_classes(spark).count() == 21
+
+
+def test_names_of_every_label_are_linked(spark, tmp_path):
+    rows = [(1, 1, "World Bank", "ORG", "Q1"), (2, 1, "Wrold Bank", "ORG", None), (3, 2, "Kenya", "GPE", "Q2"), (4, 2, "Kenia", "GPE", None), (5, 3, "enérgy", "UNBIS_TERM", None), (6, 3, "Elsewhere", "LOC", None)]
+    spark.createDataFrame(rows, "entity_id bigint, doc_id bigint, surface string, label string, qid string").write.parquet(str(tmp_path / "entities.parquet"))
+    spark.createDataFrame([("T1", "energy")], "id string, pattern string").write.parquet(str(tmp_path / "unbis_vocab.parquet"))
+    got = {r["name"]: (r.qid, r.how) for r in catalog.link_cascade_all(spark, str(tmp_path)).collect()}
+    assert got == {"World Bank": ("Q1", "exact"), "Wrold Bank": ("Q1", "fuzzy"), "Kenya": ("Q2", "exact"), "Kenia": ("Q2", "fuzzy"), "energy": ("T1", "exact"), "Elsewhere": (None, None)}
+    near = {(r["name"], r.qid, r.distance) for r in catalog.fuzzy_candidates_all(spark, str(tmp_path)).collect()}
+    assert near == {("World Bank", "Q1", 0), ("Wrold Bank", "Q1", 2), ("Kenya", "Q2", 0), ("Kenia", "Q2", 1), ("energy", "T1", 0)}
