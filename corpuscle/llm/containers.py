@@ -1,11 +1,12 @@
 """Problem 9: containers of a fixed capacity filled with items, by non-negative least squares.
 
 Only the histogram of item sizes, of at most ``capacity`` rows whatever the corpus, comes to the driver. Combinations of
-one or two lengths that fill a container are enumerated, their repeat counts solved against the histogram by
-non-negative least squares and rounded down, and what is left is packed greedily, each choice repeated as often as the
-histogram allows. The result is a list of runs ("so many containers of this content"), again bounded by the capacity and
-not by the corpus. Items find their containers by their rank among the items of their size, which is made of counts by
-(size, salt), so that a size of very many items is ranked by many tasks.
+one or two lengths that fill a container are enumerated and their repeat counts solved against the histogram by
+non-negative least squares. Repeat counts are rounded down, those below one up, the largest first and as far as the
+histogram goes; what is left is solved again, until no combination fills a container. The rest is packed greedily, each
+choice repeated as often as the histogram allows. The result is a list of runs ("so many containers of this content"), again
+bounded by the capacity and not by the corpus. Items find their containers by their rank among the items of their size,
+which is made of counts by (size, salt), so that a size of very many items is ranked by many tasks.
 
 Defined results: null and empty texts are no items, blank ones are; an item above the capacity is split into pieces of
 the capacity and a rest, any other item stays whole; repeated rows are items of their own (a null key too).
@@ -24,7 +25,7 @@ from pyspark.sql.window import Window
 from corpuscle.llm.tokens import TOKENIZERS, VOCABULARY, token_counts
 from corpuscle.session import cut_lineage
 
-CAPACITY, SALTS, COPIES, STEPS = 2_048, 64, 8, 400
+CAPACITY, SALTS, MOST_SALTS, COPIES, STEPS = 2_048, 64, 1_024, 8, 400
 
 
 def combinations(sizes: np.ndarray, capacity: int, copies: int = COPIES) -> np.ndarray:
@@ -93,24 +94,29 @@ def fill(left: np.ndarray, capacity: int) -> list[tuple[int, list[tuple[int, int
     return runs
 
 
+def solved(left: np.ndarray, capacity: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Runs by least squares, which are taken off the histogram ``left``: solved and rounded until no combination fills a container."""
+    runs = []
+    while True:
+        rows = combinations(np.nonzero(left)[0], capacity)
+        rows = rows[(rows[:, 1] <= left[rows[:, 0]]) & ((rows[:, 2] == 0) | (rows[:, 3] <= left[rows[:, 2]]))]
+        if not len(rows):
+            return runs
+        repeats = solve(rows, left.astype(float))
+        for at in np.argsort(-repeats, kind="stable"):
+            s, k, t, j = rows[at].tolist()
+            times = min(max(1, int(repeats[at] + 1e-6)), int(left[s]) // k, *([int(left[t]) // j] if t else []))
+            if times > 0:
+                content = [(s, k)] + ([(t, j)] if t else [])
+                for size, n in content:
+                    left[size] -= n * times
+                runs.append((times, content))
+
+
 def plan(histogram: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, list[tuple[int, int]]]]:
     """Runs (containers, [(size, items of it in each)]) that hold every item of ``histogram`` (counts by size) once."""
     left = histogram.astype(np.int64).copy()
-    runs = []
-    sizes = np.nonzero(left)[0]
-    rows = combinations(sizes, capacity)
-    repeats = np.floor(solve(rows, left.astype(float)) + 1e-6).astype(np.int64)
-    for at in np.argsort(-repeats, kind="stable"):
-        if repeats[at] <= 0:
-            break
-        s, k, t, j = rows[at].tolist()
-        times = min(int(repeats[at]), int(left[s]) // k, *([int(left[t]) // j] if t else []))
-        if times > 0:
-            content = [(s, k)] + ([(t, j)] if t else [])
-            for size, n in content:
-                left[size] -= n * times
-            runs.append((times, content))
-    return runs + fill(left, capacity)
+    return solved(left, capacity) + fill(left, capacity)
 
 
 def slots(runs: list[tuple[int, list[tuple[int, int]]]]) -> np.ndarray:
@@ -134,8 +140,12 @@ def items(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) -> Da
     return split.select(key, "piece", start.alias("start"), F.least(F.lit(capacity).cast("bigint"), F.col("total") - start).alias("n_tokens"))
 
 
-def assign(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, salts: int = SALTS) -> DataFrame:
-    """``container_id, key, piece, start, n_tokens`` for a table of ``key`` and ``n_tokens``."""
+def assign(sizes: DataFrame, key: str = "doc_id", capacity: int = CAPACITY, salts: int | None = None) -> DataFrame:
+    """``container_id, key, piece, start, n_tokens`` for a table of ``key`` and ``n_tokens``.
+
+    A size is ranked by ``salts`` tasks: ``SALTS``, or as many as the session's shuffle partitions, up to ``MOST_SALTS``.
+    """
+    salts = salts or min(MOST_SALTS, max(SALTS, int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
     salted = items(sizes, key, capacity).withColumn("salt", F.pmod(F.xxhash64(key, "piece"), F.lit(salts)).cast("int"))
     counted = salted.groupBy("n_tokens", "salt").agg(F.count("*").alias("n")).toPandas()  # at most capacity * salts rows
     counted = counted.sort_values(["n_tokens", "salt"])

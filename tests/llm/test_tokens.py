@@ -73,6 +73,19 @@ def test_plan_holds_every_item_once():
         assert (used == histogram).all()
 
 
+def test_least_squares_fill_most_containers():
+    import numpy as np
+
+    for seed in range(3):
+        random = np.random.default_rng(seed)
+        histogram = np.bincount(np.minimum(2_048, random.lognormal(5.4, 0.8, 10_000).astype(int) + 10), minlength=2_049)
+        least = -(-int((histogram * np.arange(2_049)).sum()) // 2_048)
+        left = histogram.copy()
+        solved, rest = containers.solved(left, 2_048), containers.fill(left, 2_048)
+        by = [sum(times for times, _ in runs) for runs in (solved, rest)]
+        assert by[0] >= 0.8 * sum(by) and sum(by) <= 1.002 * least + 1
+
+
 def test_containers_of_odd_tables(spark):
     assert containers.assign(sizes_of(spark, [])).count() == 0
     assert containers.assign(sizes_of(spark, [0, 0])).count() == 0
