@@ -5,9 +5,11 @@ a word only where a word alone is over the limit. Adjacent segments are then mer
 in a heap), while the merged size with the overlap fits; what is left are pieces cut at the strongest boundaries. Each
 piece but the first repeats about ``overlap`` characters of the one before, from the start of a word where there is one.
 
-Sections are found without sorting a document in one task: positions fall into stretches of ``STRETCH``, each stretch
-finds the last section start within it, and only these summaries are carried along the document. A section is cut in
-blocks of a bounded number of elements, so that one section may hold any share of all rows.
+Sections are found on narrow rows (document, position, length) without sorting a document in one task: positions fall
+into stretches of ``STRETCH``, each stretch finds the last section start within it, and only these summaries are carried
+along the document. Texts are moved once, to join them with the positions of oversized sections. A section is cut whole,
+unless it spans more than ``BLOCK`` positions: then it is cut in blocks of so many, counted from its own start and ending
+between elements, so that one section may hold any share of all rows.
 
 Defined results: repeated deliveries of an element count once; elements without doc_id or pos belong to no section;
 a null text has no characters; a section of blanks only is cut like any other; an empty table gives an empty result.
@@ -23,7 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SIZE_ABOVE, PIECE, OVERLAP, STRETCH = 4_000, 1_000, 100, 512
+from corpuscle.session import written_table
+
+SIZE_ABOVE, PIECE, OVERLAP, STRETCH, BLOCK = 4_000, 1_000, 100, 512, 512
 #: Boundaries from the strongest down: the text before the cut must end so.
 BOUNDARIES = ((6, re.compile(r"\n\s*\n\s*")), (5, re.compile(r"\n\s*")), (4, re.compile(r"[.!?…][\"')\]]*\s+|[。！？]\s*")), (3, re.compile(r"[;:]\s+|[；：]")), (2, re.compile(r",\s+|[，、]")), (1, re.compile(r"\s+")))
 
@@ -85,69 +89,91 @@ def tail(text: str, overlap: int = OVERLAP) -> str:
 
 
 def section_elements(content: DataFrame) -> DataFrame:
-    """``doc_id, stretch, pos, section, text`` of every element once; ``section`` is the position of its section's first element.
+    """``doc_id, stretch, pos, section, length`` of every element once; ``section`` is the position of its section's first element.
 
-    A section starts at a document's first element and at each element of type text with a level.
+    A section starts at a document's first element and at each element of type text with a level. ``length`` is that of
+    the text of an element of type text, and null for other types.
     """
-    stretch = F.floor(F.col("pos") / STRETCH)
-    placed = content.where(F.col("doc_id").isNotNull() & F.col("pos").isNotNull()).select("doc_id", "pos", "type", "text", "text_level", stretch.alias("stretch"))
-    placed = placed.repartition("doc_id", "stretch")  # serves every step on stretches
-    starts = F.when((F.col("type") == "text") & F.col("text_level").isNotNull(), F.col("pos"))
-    marks = placed.groupBy("doc_id", "stretch").agg(F.max(starts).alias("last_start"), F.min("pos").alias("first_pos"))
+    text = F.col("type") == "text"
+    length = F.when(text, F.coalesce(F.length("text"), F.lit(0)))
+    start = F.when(text & F.col("text_level").isNotNull(), F.col("pos"))
+    rows = content.where(F.col("doc_id").isNotNull() & F.col("pos").isNotNull()).select("doc_id", "pos", F.floor(F.col("pos") / STRETCH).alias("stretch"), start.alias("start"), length.alias("length"))
+    # one partitioning serves every step on stretches
+    once = rows.repartition("doc_id", "stretch").groupBy("doc_id", "stretch", "pos").agg(F.max("start").alias("start"), F.max("length").alias("length"))
+    marks = once.groupBy("doc_id", "stretch").agg(F.max("start").alias("last_start"), F.min("pos").alias("first_pos"))
     earlier = Window.partitionBy("doc_id").orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
     carried = marks.select("doc_id", "stretch", F.coalesce(F.max("last_start").over(earlier), F.min("first_pos").over(earlier), F.col("first_pos")).alias("carried"))
-    once = Window.partitionBy("doc_id", "stretch", "pos").orderBy("type", "text_level", "text")
     within = Window.partitionBy("doc_id", "stretch").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
-    # one row a position, of the same partitioning as the windows before and after it
-    elements = placed.withColumn("nth", F.row_number().over(once)).where("nth = 1").withColumn("start_within", F.max(starts).over(within))
-    return elements.join(carried, ["doc_id", "stretch"]).select(
-        "doc_id", "stretch", "pos", F.coalesce("start_within", "carried").alias("section"), F.when(F.col("type") == "text", F.coalesce("text", F.lit(""))).alias("text")
-    )
+    placed = once.withColumn("start_within", F.max("start").over(within)).join(carried, ["doc_id", "stretch"])
+    return placed.select("doc_id", "stretch", "pos", F.coalesce("start_within", "carried").alias("section"), "length")
 
 
 def sections(content: DataFrame) -> DataFrame:
     """``doc_id, section, size`` of every section; counted in part before the shuffle."""
-    return section_elements(content).groupBy("doc_id", "section").agg(F.coalesce(F.sum(F.length("text")), F.lit(0)).alias("size"))
-
+    return section_elements(content).groupBy("doc_id", "section").agg(F.coalesce(F.sum("length"), F.lit(0)).alias("size"))
 
-def pieces(content: DataFrame, above: int = SIZE_ABOVE, most: int = PIECE, overlap: int = OVERLAP, block: int = STRETCH) -> DataFrame:
-    """``doc_id, pos, size, block, piece, start, text`` of the sections of more than ``above`` characters.
 
-    ``pos`` is the section's first element, ``piece`` counts within a ``block``, ``start`` is where the piece's own text
-    starts in its block; (block, piece) orders the pieces of a section. Elements are joined by line ends.
-    """
-    elements = section_elements(content).where("text is not null")
-    # sizes first, so that only the texts of the sections in question are moved again
-    lengths = elements.groupBy("doc_id", "stretch", "section").agg(F.sum(F.length("text")).alias("length"))
+def _sized(content: DataFrame, above: int) -> DataFrame:
+    """``doc_id, pos, section, size`` of the text elements of sections of more than ``above`` characters."""
+    elements = section_elements(content).where("length is not null")
+    # lengths are summed in each stretch first, so that a section of very many elements is no hot key
+    lengths = elements.groupBy("doc_id", "stretch", "section").agg(F.sum("length").alias("length"))
     sizes = lengths.groupBy("doc_id", "section").agg(F.sum("length").alias("size")).where(F.col("size") > above)
-    marked = lengths.join(sizes, ["doc_id", "section"]).select("doc_id", "stretch", F.col("section").alias("large"), "size")
+    large = lengths.join(sizes, ["doc_id", "section"]).select("doc_id", "stretch", F.col("section").alias("large"), "size")
     # the last condition is written so as to be no key of the join: the elements stay where they are, by document and stretch
     own = (F.col("e.doc_id") == F.col("m.doc_id")) & (F.col("e.stretch") == F.col("m.stretch")) & (F.col("e.section") - F.col("m.large") == 0)
-    kept = elements.alias("e").join(marked.alias("m"), own).select("e.doc_id", "e.section", "m.size", F.floor(F.col("e.pos") / block).alias("block"), "e.pos", "e.text")
-    grouped = kept.groupBy("doc_id", "section", "block").agg(F.max("size").alias("size"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("parts"))
-    joined = grouped.select("doc_id", "section", "block", "size", F.array_join(F.transform(F.filter("parts", lambda p: p["text"] != ""), lambda p: p["text"]), "\n").alias("text"))
-    tails = joined.select("doc_id", "section", "block", F.right("text", F.lit(overlap + 1)).alias("tail"))
-    before = tails.select("doc_id", "section", "block", F.lag("tail").over(Window.partitionBy("doc_id", "section").orderBy("block")).alias("before"))
-    ready = joined.join(before, ["doc_id", "section", "block"]).select("doc_id", "section", "size", "block", "text", F.coalesce("before", F.lit("")).alias("before"))
+    return elements.alias("e").join(large.alias("m"), own).select("e.doc_id", "e.pos", "e.section", "m.size")
+
+
+def cut_blocks(content: DataFrame, above: int = SIZE_ABOVE, most: int = PIECE, overlap: int = OVERLAP, block: int = BLOCK) -> DataFrame:
+    """``doc_id, pos, size, block, offset, piece, start, text``: the pieces of each block of an oversized section.
+
+    ``pos`` is the section's first element, ``offset`` the number of characters of the blocks before, ``piece`` counts within
+    the block, ``start`` is where the piece's own text starts in it.
+    """
+    texts = content.where((F.col("type") == "text") & F.col("doc_id").isNotNull() & F.col("pos").isNotNull() & (F.col("text") != "")).select("doc_id", "pos", "text")
+    kept = texts.join(_sized(content, above), ["doc_id", "pos"]).dropDuplicates(["doc_id", "pos"])
+    blocked = kept.withColumn("block", F.floor((F.col("pos") - F.col("section")) / block))
+    grouped = blocked.groupBy("doc_id", "section", "block").agg(F.max("size").alias("size"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("parts"))
+    joined = grouped.select("doc_id", "section", "block", "size", F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"))
+    order = Window.partitionBy("doc_id", "section").orderBy("block")
+    # one row a block is carried along the section: the end of its text, and its length with the line end after it
+    ends = joined.select("doc_id", "section", "block", F.right("text", F.lit(overlap + 1)).alias("tail"), (F.length("text") + 1).alias("length"))
+    offset = F.coalesce(F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = ends.select("doc_id", "section", "block", F.coalesce(F.lag("tail").over(order), F.lit("")).alias("before"), offset.alias("offset"))
+    ready = joined.join(before, ["doc_id", "section", "block"]).select("doc_id", "section", "size", "block", "offset", "text", "before")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                text, last = batch.column(4)[k].as_py(), batch.column(5)[k].as_py()
+                text, last = batch.column(5)[k].as_py(), batch.column(6)[k].as_py()
                 out: list[tuple[int, int, str]] = []
                 for n, (a, b) in enumerate(cut(text, most, overlap)):
                     out.append((n, a, tail(last, overlap) + text[a:b]))
                     last = text[max(0, a - overlap - 1) : b] if b - a <= overlap else text[a:b]
                 rows = pa.array([k] * len(out), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).take(rows) for c in range(4)] + [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.string())],
-                    ["doc_id", "pos", "size", "block", "piece", "start", "text"],
+                    [batch.column(c).take(rows) for c in range(5)] + [pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.string())],
+                    ["doc_id", "pos", "size", "block", "offset", "piece", "start", "text"],
                 )
 
-    return ready.mapInArrow(run, f"doc_id {content.schema['doc_id'].dataType.simpleString()}, pos int, size bigint, block bigint, piece int, start int, text string")
+    return ready.mapInArrow(run, f"doc_id {content.schema['doc_id'].dataType.simpleString()}, pos int, size bigint, block bigint, offset bigint, piece int, start int, text string")
+
+
+def pieces(content: DataFrame, above: int = SIZE_ABOVE, most: int = PIECE, overlap: int = OVERLAP, block: int = BLOCK) -> DataFrame:
+    """``doc_id, pos, size, piece, start, text`` of the sections of more than ``above`` characters.
+
+    ``pos`` is the section's first element, ``piece`` counts over the section from 0, ``start`` is where the piece's own text
+    starts in the section's text, whose elements are joined by line ends.
+    """
+    made = written_table(cut_blocks(content, above, most, overlap, block))
+    counts = made.groupBy("doc_id", "pos", "block").agg(F.count("*").alias("n_pieces"))
+    order = Window.partitionBy("doc_id", "pos").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = counts.select("doc_id", "pos", "block", F.coalesce(F.sum("n_pieces").over(order), F.lit(0)).alias("earlier")).where("earlier > 0")
+    numbered = made.join(earlier, ["doc_id", "pos", "block"], "left")
+    return numbered.select("doc_id", "pos", "size", (F.coalesce("earlier", F.lit(0)) + F.col("piece")).alias("piece"), (F.col("offset") + F.col("start")).alias("start"), "text")
 
 
 def oversized(content: DataFrame) -> DataFrame:
-    """``doc_id, pos`` of each section that was cut: those of its first piece."""
-    cut_sections = pieces(content)
-    return cut_sections.groupBy("doc_id", "pos").agg(F.count("*").alias("n_pieces")).select("doc_id", "pos")
+    """``doc_id, pos`` of each section that was cut: those of its pieces."""
+    return cut_blocks(content).select("doc_id", "pos").distinct()

@@ -123,8 +123,14 @@ class Tree:
         return ids[at:]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ``ids``: the bytes of the two halves, one after the other, down to single tokens."""
-        return b"".join(self.raw[i] for i in ids).decode("utf-8", errors="replace")
+        """The text of ``ids``: bytes are joined up the tree, so a character whose bytes lie in both halves is whole again."""
+        return self._bytes(ids).decode("utf-8", errors="replace")
+
+    def _bytes(self, ids: list[int]) -> bytes:
+        if len(ids) <= self.leaf:
+            return b"".join(self.raw[i] for i in ids)
+        middle = len(ids) // 2
+        return self._bytes(ids[:middle]) + self._bytes(ids[middle:])
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:

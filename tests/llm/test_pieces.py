@@ -54,13 +54,40 @@ def test_sections_against_brute_force(spark, monkeypatch, stretch):
     assert {(r.doc_id, r.pos) for r in pieces.oversized(content).collect()} == brute(elements)
     made = pieces.pieces(content, block=7).collect()
     assert max(len(r.text) for r in made) <= 1000
+    texts = section_texts(elements)
     by = {}
-    for r in sorted(made, key=lambda r: (r.doc_id, r.pos, r.block, r.piece)):
-        before = by.get((r.doc_id, r.pos))
-        if before is not None and len(before) >= 100:
-            k = next(k for k in range(101, -1, -1) if r.text.startswith(before[len(before) - k :] if k else ""))
-            assert k >= 1
-        by[r.doc_id, r.pos] = r.text
+    for r in sorted(made, key=lambda r: (r.doc_id, r.pos, r.piece)):
+        by.setdefault((r.doc_id, r.pos), []).append(r)
+    for key, own in by.items():
+        assert [r.piece for r in own] == list(range(len(own)))
+        ends = [r.start for r in own[1:]] + [len(texts[key])]
+        for r, end in zip(own, ends, strict=True):
+            # a block's last piece leaves out the line end after it
+            assert r.text.endswith(texts[key][r.start : end].removesuffix("\n")) or r.text.endswith(texts[key][r.start : end])
+        for r, s in zip(own, own[1:], strict=False):
+            if len(r.text) >= 100:
+                assert next(k for k in range(101, -1, -1) if s.text.startswith(r.text[len(r.text) - k :] if k else "")) >= 1
+
+
+def section_texts(elements):
+    out = {}
+    for d, p, t, x, lv in sorted({e for e in elements if e[0] is not None and e[1] is not None}, key=lambda e: e[:2]):
+        if (d, "at") not in out or (t == "text" and lv is not None):
+            out[d, "at"] = p
+        if t == "text" and x:
+            key = d, out[d, "at"]
+            out[key] = f"{out[key]}\n{x}" if key in out else x
+    return out
+
+
+def test_a_section_is_cut_where_its_boundaries_are(spark):
+    """A section across positions 500 to 530 is cut as one of the same elements at the start, and one of very many elements is whole too."""
+    parts = [f"Sentence {i} of this section is here, and it goes on." * 6 for i in range(30)]
+    made = pieces.pieces(rows(spark, [(d, at + i, "text", x, 1 if i == 0 else None) for d, at in ((1, 0), (2, 500)) for i, x in enumerate(parts)])).collect()
+    by = {d: [(r.piece, r.start, r.text) for r in sorted(made, key=lambda r: r.piece) if r.doc_id == d] for d in (1, 2)}
+    assert by[1] == by[2] and len(by[1]) > 3
+    long = pieces.pieces(rows(spark, [(1, i, "text", f"Words of element {i}.", None) for i in range(3_000)])).collect()
+    assert sorted(r.piece for r in long) == list(range(len(long))) and {r.pos for r in long} == {0}
 
 
 def test_a_limit_is_no_case(spark):
