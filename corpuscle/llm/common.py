@@ -9,18 +9,16 @@ from pyspark.sql import functions as F
 BLANKS = r"[\s\u001c-\u001f\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 
 
+#: A value of more than one in so many rows is hot.
+HOT = 1_000
+
+
 def term(value: Column) -> Column:
     """A string as a *term*: no white space at the ends, inner runs one space, lower case; null if nothing is left."""
     one_space = F.trim(F.regexp_replace(value, BLANKS, " "))
     return F.nullif(F.lower(one_space), F.lit(""))
 
 
-def distinct_chunks(chunk: DataFrame, *columns: str) -> DataFrame:
-    """``chunk`` with each chunk once and only ``columns``; rows without a chunk_id name no chunk and are left out."""
-    keep = ["chunk_id", *[c for c in columns if c != "chunk_id"]]
-    return chunk.where(F.col("chunk_id").isNotNull()).select(*keep).dropDuplicates(["chunk_id"])
-
-
 def distinct_elements(content: DataFrame, *columns: str) -> DataFrame:
     """``content_list`` with each element once; identical repeated deliveries count once."""
     keep = ["element_id", *[c for c in columns if c != "element_id"]]
@@ -38,6 +36,21 @@ def looked_up(rows: DataFrame, found: DataFrame, keys: list[str], spread: str, h
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
+def hot_looked_up(rows: DataFrame, found: DataFrame, keys: list[str], weight: str, total: Column, spread: str, weighed: DataFrame | None = None, salts: int = 64) -> DataFrame:
+    """``looked_up`` for a ``found`` about as large as ``rows``: only hot values are spread, and only their rows are repeated.
+
+    ``weight`` is a column of ``found`` with the number of rows that a value has, ``total`` the number of all rows. A value
+    is hot from one in ``HOT`` of them on, so there are at most ``HOT`` hot values, which are broadcast. ``weighed`` has keys
+    and weights where ``found`` is too costly to be made twice.
+    """
+    is_hot = F.col(weight) * HOT > total
+    hot = (found if weighed is None else weighed).where(is_hot).select(*keys, F.lit(True).alias("_hot"))
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+    left = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_hot")
+    right = found.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
+    return left.join(right, [*keys, "_salt"]).drop("_salt")
+
+
 def spread(rows: DataFrame, *columns: str) -> DataFrame:
     """``rows`` over all cores by a hash of ``columns``: few small rows that are costly to work on would else share a task.
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import distinct_chunks, term
+from corpuscle.llm.common import looked_up, term
 
 BLOCK = 64
 
@@ -27,8 +27,8 @@ def item_set(entities: Column) -> Column:
 
 
 def baskets(chunk: DataFrame) -> DataFrame:
-    """``basket`` and ``items`` of each chunk once."""
-    return distinct_chunks(chunk, "entities").select(F.col("chunk_id").alias("basket"), item_set(F.col("entities")).alias("items"))
+    """``basket`` and ``items`` of each chunk once; arrays are cut down to their terms before chunks delivered twice are made one."""
+    return chunk.where("chunk_id is not null").select(F.col("chunk_id").alias("basket"), item_set(F.col("entities")).alias("items")).dropDuplicates(["basket"])
 
 
 def _ordered_pairs(items: Column) -> Column:
@@ -67,7 +67,8 @@ def associations(chunk: DataFrame, block: int = BLOCK, least: int = 1) -> DataFr
         found, counts = found.where(F.col("n_ab") >= least), counts.where(F.col("n_item") >= least)
     a = counts.select(F.col("item").alias("a"), F.col("n_item").alias("n_a"))
     b = counts.select(F.col("item").alias("b"), F.col("n_item").alias("n_b"))
-    joined = found.join(a, "a").join(b, "b").withColumn("n", sets.agg(F.count("*")).scalar())
+    # an item may be in any share of the pairs
+    joined = looked_up(looked_up(found, a, ["a"], "b", "inner"), b, ["b"], "a", "inner").withColumn("n", sets.agg(F.count("*")).scalar())
     ratio = F.col("n_ab") * F.col("n") / (F.col("n_a") * F.col("n_b"))
     return joined.select(F.col("a").alias("term_a"), F.col("b").alias("term_b"), "n_ab", "n_a", "n_b", "n", ratio.alias("ratio"))
 
