@@ -36,7 +36,7 @@ def looked_up(rows: DataFrame, found: DataFrame, keys: list[str], spread: str, h
     return left.join(right, [*keys, "_salt"], how).drop("_salt")
 
 
-def hot_looked_up(rows: DataFrame, found: DataFrame, keys: list[str], weight: str, total: Column, spread: str, weighed: DataFrame | None = None, salts: int = 64) -> DataFrame:
+def hot_looked_up(rows: DataFrame, found: DataFrame, keys: list[str], weight: str, total: Column, spread: str, weighed: DataFrame | None = None, how: str = "inner", salts: int = 64) -> DataFrame:
     """``looked_up`` for a ``found`` about as large as ``rows``: only hot values are spread, and only their rows are repeated.
 
     ``weight`` is a column of ``found`` with the number of rows that a value has, ``total`` the number of all rows. A value
@@ -48,7 +48,7 @@ def hot_looked_up(rows: DataFrame, found: DataFrame, keys: list[str], weight: st
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(spread), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     left = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_hot")
     right = found.withColumn("_salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))))
-    return left.join(right, [*keys, "_salt"]).drop("_salt")
+    return left.join(right, [*keys, "_salt"], how).drop("_salt", weight)
 
 
 def spread(rows: DataFrame, *columns: str) -> DataFrame:

@@ -59,8 +59,7 @@ def record_counts(chunk: DataFrame) -> tuple[DataFrame, DataFrame, Column]:
     overall = by_doc.groupBy("kind", "term").agg(F.sum("n_doc").alias("n_all"), F.count("*").alias("n_records"))
     totals, n_rows = by_doc.groupBy("kind").agg(F.sum("n_doc").alias("n_kind")), by_doc.agg(F.count("*")).scalar()
     # a term may be in any share of all records
-    counts = hot_looked_up(by_doc, overall, ["kind", "term"], "n_records", n_rows, "record")
-    return counts.drop("n_records"), totals, n_rows
+    return hot_looked_up(by_doc, overall, ["kind", "term"], "n_records", n_rows, "record"), totals, n_rows
 
 
 def fit(sizes: np.ndarray, tf: np.ndarray, background: np.ndarray, starts: np.ndarray, share: float = OWN_SHARE, settled: float = SETTLED) -> np.ndarray:

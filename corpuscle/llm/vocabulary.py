@@ -1,11 +1,17 @@
 """Problem 4: free-entered values mapped to a canonical list through BK-trees.
 
 Distinct values are read in a few ways (without marks such as "topic:" or "etc.", parts turned round at a comma, dash,
-slash, bracket or "of", abbreviated words spelled out from the list's own words), and each reading is looked up in a
-BK-tree of the reference entries. The tree's metric is the Levenshtein distance, whose triangle inequality prunes without
-losing an entry; as an exchange of neighbours counts 2 there, the radius is twice the threshold, and what it returns is
-ranked by the Damerau distance, in which it counts 1. Longer lists are sharded: a tree for each ``SHARD`` entries, every
-value asks all of them, and the shard winners merge.
+slash, bracket or "of", abbreviated words spelled out from the list's own words), and each reading is looked up in
+BK-trees of the reference entries, one for each length, as entries of another length than within the threshold can't be
+meant. The trees' metric is the Levenshtein distance, whose triangle inequality prunes without losing an entry; as an
+exchange of neighbours counts 2 there, the radius is twice the threshold, and what it returns is ranked by the Damerau
+distance, in which it counts 1. Longer lists are sharded: trees for each ``SHARD`` entries, every value asks all of them,
+words are spelled out from the whole list everywhere, and the shard winners merge.
+
+Abbreviations of several words give a value the product of their spellings as readings. Up to ``READINGS`` are looked up
+one by one; more are kept as a lattice of words, whose smallest distance to each entry is found without listing them
+(edit distances are minima, so alternatives join in one row), and only readings near an entry are spelled out. Both
+ways look at every reading, so the result is the same.
 
 Defined results: rows labelled otherwise are left out; identical repeated rows count once, rows without entity_id not at
 all; null, empty and blank surfaces are ``unmatched``, as is all within an empty list; ties go to the entry that comes
@@ -18,16 +24,19 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import islice, product
+from itertools import product
+from math import prod
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscle.llm.common import looked_up, spread
+from corpuscle.llm.common import hot_looked_up, spread
 
-LABEL, UNMATCHED, THRESHOLD, SHARD, SALTS = "UNBIS_TERM", "unmatched", 2, 20_000, 16
-READINGS = 24
+LABEL, UNMATCHED, THRESHOLD, SHARD, READINGS = "UNBIS_TERM", "unmatched", 2, 20_000, 24
+#: As many distinct words a sharded list may have, which are broadcast to all shards; a list with more is refused.
+WORDS = 2_000_000
 
 #: Common short forms that fit more than one word of such lists.
 SHORT_FORMS = {"ins": "insurance", "edu": "education", "intl": "international", "govt": "government", "mgmt": "management", "dev": "development"}
@@ -142,20 +151,55 @@ def _within_word(short: str, word: str) -> bool:
     return all(c in rest for c in short)
 
 
+def advanced(row: list[int], name: str, word: str) -> list[int]:
+    """The Levenshtein row over ``name`` after the letters of ``word``."""
+    for c in word:
+        new = [row[0] + 1]
+        for j, x in enumerate(name, 1):
+            new.append(min(row[j - 1] + (c != x), row[j] + 1, new[-1] + 1))
+        row = new
+    return row
+
+
+def near_readings(tokens: list[tuple[str, ...]], name: str, radius: int) -> Iterator[str]:
+    """The readings of a lattice of words within ``radius`` of ``name``: a walk that turns back where no end is near enough."""
+    backward = [list(range(len(name) + 1))]
+    for k in range(len(tokens) - 1, -1, -1):
+        rows = [advanced(backward[-1], name[::-1], w[::-1] + (" " if k else "")) for w in tokens[k]]
+        backward.append([min(column) for column in zip(*rows, strict=True)])
+    rest = [row[::-1] for row in reversed(backward)]  # of the words from k on, to what stands after each place of the name
+
+    def walk(k: int, row: list[int], said: str) -> Iterator[str]:
+        if min(map(int.__add__, row, rest[k])) > radius:
+            return
+        if k == len(tokens):
+            yield said
+            return
+        for w in tokens[k]:
+            word = (" " if k else "") + w
+            yield from walk(k + 1, advanced(row, name, word), said + word)
+
+    return walk(0, list(range(len(name) + 1)), "")
+
+
 class Matcher:
     """Finds the entry that a value means, or none, in one shard of the list."""
 
-    def __init__(self, entries: list[tuple[str, str]], threshold: int = THRESHOLD, vocabulary: list[str] | None = None):
+    def __init__(self, entries: list[tuple[str, str]], threshold: int = THRESHOLD, words: list[str] | None = None):
         self.ids: dict[str, tuple[str, str]] = {}
         for pattern, id_ in sorted(entries):
             self.ids.setdefault(plain(pattern), (pattern, id_))
-        self.tree = BKTree(iter(self.ids))
+        lengths: dict[int, list[str]] = {}
+        for name in self.ids:
+            lengths.setdefault(len(name), []).append(name)
+        self.trees = {n: BKTree(iter(names)) for n, names in lengths.items()}
         self.threshold = threshold
-        self.longest = max(map(len, self.ids), default=0)
-        self.words = sorted({w for p in (vocabulary or self.ids) for w in plain(p).split()})
+        self.longest = max(lengths, default=0)
+        self.words = sorted(words if words is not None else words_of(self.ids))
         self.known = set(self.words)
         self.spelled = lru_cache(100_000)(self._spelled)
         self.nearest = lru_cache(100_000)(self._nearest)
+        self.table = lru_cache(1)(self._table)
 
     def _spelled(self, token: str) -> tuple[str, ...]:
         """The words that a token may abbreviate: those it begins, or whose first and last letter and order it keeps."""
@@ -169,8 +213,8 @@ class Matcher:
             begun = [w for w in self.words if len(w) > len(bare) + 2 and w[0] == bare[0] and w[-1] == bare[-1] and _within_word(bare, w)]
         return tuple(begun) or (bare,)
 
-    def readings(self, surface: str) -> list[str]:
-        """The ways in which a value may be read, the plainest first."""
+    def readings(self, surface: str) -> tuple[list[str], list[list[tuple[str, ...]]]]:
+        """The ways in which a value may be read, the plainest first, and lattices of words for those of more than ``READINGS``."""
         text = without_remarks(plain(surface))
         bracket = BRACKET.fullmatch(text)
         orders = [[text]]
@@ -181,44 +225,100 @@ class Matcher:
             if len(parts) > 1:
                 orders += [parts[::-1], parts]
         out: dict[str, None] = {}
+        lattices = []
         for parts in orders:
             joined = " ".join(parts)
             out[" ".join(re.sub(r"[-_./,;:()]+", " ", joined).split())] = None
-            tokens = [self.spelled(t) for t in re.split(r"[\s_/]+", joined) if t]
-            for words in islice(product(*tokens), READINGS):
-                out[" ".join(w for w in words if w)] = None
-        return [x for x in out if x]
+            tokens = [w for w in (self.spelled(t) for t in re.split(r"[\s_/]+", joined) if t) if w != ("",)]
+            if sum(min(map(len, words)) + 1 for words in tokens) - 1 > self.longest + self.threshold:
+                continue
+            if prod(map(len, tokens)) > READINGS:
+                lattices.append(tokens)
+                continue
+            for words in product(*tokens):
+                out[" ".join(words)] = None
+        return [x for x in out if x], lattices
 
     def _nearest(self, reading: str) -> tuple[int, str] | None:
         """(distance, name) of the nearest entry within the threshold; a smaller radius does where it finds one near enough."""
-        if len(reading) > self.longest + self.threshold:
-            return None
         for most in sorted({self.threshold // 2, self.threshold}):
-            near = [(damerau(reading, name), name) for _, name in self.tree.within(reading, 2 * most)]
+            trees = [self.trees[n] for n in range(len(reading) - most, len(reading) + most + 1) if n in self.trees]
+            near = [(damerau(reading, name), name) for tree in trees for _, name in tree.within(reading, 2 * most)]
             if best := min((x for x in near if x[0] <= most), default=None):
                 return best
         return None
 
+    def _table(self) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The entries, and their letters as rows of numbers."""
+        names = list(self.ids)
+        codes = np.full((len(names), self.longest), -1, np.int32)
+        for k, name in enumerate(names):
+            codes[k, : len(name)] = [ord(c) for c in name]
+        return names, codes, np.array([len(n) for n in names])
+
+    def nearest_of(self, tokens: list[tuple[str, ...]]) -> tuple[int, str] | None:
+        """(distance, name) of the nearest entry within the threshold to any reading of a lattice of words."""
+        names, codes, lengths = self.table()
+        place = np.arange(self.longest + 1, dtype=np.int32)
+        rows = np.tile(place, (len(names), 1))
+        for k, words in enumerate(tokens):
+            joined = None
+            for word in words:
+                row = rows
+                for c in (" " if k else "") + word:
+                    new = row + 1
+                    new[:, 1:] = np.minimum(new[:, 1:], row[:, :-1] + (codes != ord(c)))
+                    row = np.minimum.accumulate(new - place, axis=1) + place
+                joined = row if joined is None else np.minimum(joined, row)
+            rows = joined
+        found = None
+        for k in np.flatnonzero(rows[np.arange(len(names)), lengths] <= 2 * self.threshold):
+            for reading in near_readings(tokens, names[k], 2 * self.threshold):
+                one = damerau(reading, names[k]), names[k]
+                if one[0] <= self.threshold and (found is None or one < found):
+                    found = one
+        return found
+
     def match(self, surface: str | None) -> tuple[int, str, str] | None:
         """(distance, pattern, id) of the nearest entry within the threshold."""
         if surface is None:
             return None
-        readings = self.readings(surface)
+        readings, lattices = self.readings(surface)
         exact = [(0, x) for x in readings if x in self.ids]
         found = exact or [x for x in map(self.nearest, readings) if x]
+        found += [x for x in map(self.nearest_of, lattices) if x]
         if not found:
             return None
         distance, name = min(found)
         return distance, *self.ids[name]
 
 
+def words_of(patterns: Iterator[str]) -> set[str]:
+    return {w for p in patterns for w in plain(p).split()}
+
+
+def list_words(entries: DataFrame) -> list[str]:
+    """The distinct words of a list of any length."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"word": sorted(words_of(frame["pattern"]))})
+
+    words = entries.select("pattern").mapInPandas(run, "word string").distinct()
+    if words.count() > WORDS:
+        raise ValueError(f"a list of more than {WORDS} distinct words is no reference list")
+    return [r[0] for r in words.collect()]
+
+
 def mapped(entities: DataFrame, vocabulary: DataFrame, label: str = LABEL, threshold: int = THRESHOLD, shard: int = SHARD) -> DataFrame:
     """``entity_id, surface, id, pattern, distance`` of every row of ``label``; id ``unmatched`` where none is near enough."""
     rows = entities.where((F.col("label") == label) & F.col("entity_id").isNotNull()).select("entity_id", "surface").dropDuplicates(["entity_id"])
-    values = spread(rows.select("surface").where("surface is not null").distinct(), "surface")
+    counted = rows.where("surface is not null").groupBy("surface").agg(F.count("*").alias("n"))
+    values = spread(counted, "surface")
     entries = vocabulary.where("id is not null and pattern is not null").select("pattern", "id")
     size = entries.count()
     shards = max(1, -(-size // shard))
+    words = values.sparkSession.sparkContext.broadcast(list_words(entries)) if shards > 1 else None
     winners = None
     for k in range(shards):
         # a shard has about ``shard`` entries, whatever the list's size
@@ -226,17 +326,17 @@ def mapped(entities: DataFrame, vocabulary: DataFrame, label: str = LABEL, thres
         shared = values.sparkSession.sparkContext.broadcast([tuple(r) for r in own.collect()])
 
         def run(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            matcher = Matcher(shared.value, threshold)
+            matcher = Matcher(shared.value, threshold, words.value if words else None)
             for frame in frames:
-                found = [(s, *m) for s, m in zip(frame["surface"], map(matcher.match, frame["surface"]), strict=True) if m]
-                yield pd.DataFrame(found, columns=["surface", "distance", "pattern", "id"])
+                found = [(s, n, *m) for s, n, m in zip(frame["surface"], frame["n"], map(matcher.match, frame["surface"]), strict=True) if m]
+                yield pd.DataFrame(found, columns=["surface", "n", "distance", "pattern", "id"])
 
-        part = values.mapInPandas(run, "surface string, distance int, pattern string, id string")
+        part = values.mapInPandas(run, "surface string, n bigint, distance int, pattern string, id string")
         winners = part if winners is None else winners.unionByName(part)
     if shards > 1:
-        winners = winners.groupBy("surface").agg(F.min(F.struct("distance", "pattern", "id")).alias("w")).select("surface", "w.*")
+        winners = winners.groupBy("surface", "n").agg(F.min(F.struct("distance", "pattern", "id")).alias("w")).select("surface", "n", "w.*")
     # one value may have any share of the rows
-    joined = looked_up(rows, winners, ["surface"], "entity_id", salts=SALTS)
+    joined = hot_looked_up(rows, winners, ["surface"], "n", counted.agg(F.sum("n")).scalar(), "entity_id", counted, "left")
     return joined.select("entity_id", "surface", F.coalesce("id", F.lit(UNMATCHED)).alias("id"), "pattern", "distance")
 
 

@@ -37,6 +37,37 @@ def test_metric_and_tree():
     assert vocabulary.BKTree(iter([])).within("a", 3) == []
 
 
+def test_lattices_find_what_all_readings_do(monkeypatch):
+    """A value of very many readings has none dropped: the lattice gives what listing all of them gives."""
+    random = Random(5)
+    words = ["".join(random.choice("abc") for _ in range(random.randint(3, 7))) for _ in range(110)]
+    entries = [(" ".join(random.sample(words, random.randint(1, 4))), f"id{k}") for k in range(80)]
+    values = []
+    for _ in range(60):
+        said = [w[: random.randint(3, len(w))] if random.random() < 0.7 else w for w in random.choice(entries)[0].split()]
+        text = list(" ".join(said))
+        if random.random() < 0.5:
+            text[random.randrange(len(text))] = random.choice("abc ")
+        values.append("".join(text))
+    found = {}
+    for readings in (0, 24, 10**9):
+        monkeypatch.setattr(vocabulary, "READINGS", readings)
+        matcher = vocabulary.Matcher(entries)
+        found[readings] = [matcher.match(v) for v in values]
+        assert readings != 24 or any(matcher.readings(v)[1] for v in values)
+    assert found[0] == found[24] == found[10**9] and sum(x is not None for x in found[0]) > 30
+
+
+def test_a_shard_spells_words_of_the_whole_list():
+    """A short form means a word of the list, in whichever shard it is."""
+    one, other = [("museum inspection", "a")], [("museum insurance", "b")]
+    words = sorted(vocabulary.words_of(p for p, _ in one + other))
+    whole = vocabulary.Matcher(one + other)
+    for value in ("museum ins.", "museum insur.", "museum insp", "musuem inspection", "mus. inspect."):
+        parts = [m for m in (vocabulary.Matcher(x, words=words).match(value) for x in (one, other)) if m]
+        assert min(parts, default=None) == whole.match(value)
+
+
 LIST = ["air pollution", "public debt", "water standards", "teacher training", "rule of law", "insurance", "museum insurance", "museum inspection"]
 MEANT = {
     "Air  Pollution": 0, "air polution": 0, "ari pollution": 0, "pollution, air": 0, "pollution (air)": 0, "pollution of air": 0, "pollution - air": 0, "air / pollution": 0, "topic: air pollution": 0, "#air pollution": 0, "air pollution etc.": 0, "air pollution - misc.": 0,
