@@ -50,12 +50,12 @@ def test_lattices_find_what_all_readings_do(monkeypatch):
             text[random.randrange(len(text))] = random.choice("abc ")
         values.append("".join(text))
     found = {}
-    for readings in (0, 24, 10**9):
+    for readings in (0, 3, 10**9):
         monkeypatch.setattr(vocabulary, "READINGS", readings)
         matcher = vocabulary.Matcher(entries)
         found[readings] = [matcher.match(v) for v in values]
-        assert readings != 24 or any(matcher.readings(v)[1] for v in values)
-    assert found[0] == found[24] == found[10**9] and sum(x is not None for x in found[0]) > 30
+        assert readings != 3 or any(matcher.readings(v)[1] for v in values)
+    assert found[0] == found[3] == found[10**9] and sum(x is not None for x in found[0]) > 30
 
 
 def test_a_shard_spells_words_of_the_whole_list():
