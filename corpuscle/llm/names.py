@@ -6,8 +6,12 @@ attributed to the candidate of highest posterior: the logarithm of the candidate
 that is of typing errors in the anchor and in the other words, of nicknames, initials, abbreviations and acronyms. A form
 that no better candidate explains stands for itself; following the attributions to their ends gives the classes.
 
-Candidates come from equal keys only: anchors within two errors share a string with up to two characters left out. Keys
-are made of distinct anchors, not of rows, so that a name of very many rows has one; no bucket is capped.
+Candidates come from equal keys only: anchors within two errors share a string with up to two characters left out, or,
+where they are long, one of five pieces at nearly the same place. Keys are made of distinct anchors, not of rows, so that
+a name of very many rows has one; no bucket is capped. Where an anchor has more than ``CROWD`` candidates, as a common
+surname has, forms meet only those of them that agree in a key of the other words too: a given name with characters left
+out, its nicknames, its initial, the initials of an organisation's words. These keys miss no candidate that the channel
+allows, so the result is the same with them and without.
 
 Defined results: other labels are left out; identical repeated rows don't matter, as spellings are counted; null, empty
 and blank surfaces name nobody; ties in the posterior go to the first form by code point.
@@ -19,7 +23,7 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
+from itertools import combinations, permutations
 from math import log
 
 import pandas as pd
@@ -37,6 +41,10 @@ TYPO_RATIO = 6
 ERROR, NICKNAME, INITIAL, SHORT, ACRONYM = 4.0, 1.0, 1.5, 0.7, 1.5
 #: The cost, in nats, of a further name beside the known ones, which a complete form pays to stand for itself.
 BIRTH = 9.0
+#: Anchors of more candidates than this are split by keys of the other words; classes of more spellings by blocks.
+CROWD, BLOCK = 256, 256
+#: Words of so many letters have a piece as key in place of what is left of them.
+LONG, PIECES = 25, 5
 #: An anchor of more than two spellings is no mistyped one, unless the other has so many times as many.
 OFTENER = 4
 
@@ -120,11 +128,36 @@ def may_anchor(word: str) -> bool:
 
 
 def shortened(word: str, edits: int = EDITS) -> set[str]:
-    """``word`` with up to ``edits`` characters left out; short words lose fewer, and so do those too long for a name."""
-    most = min(edits, max(0, (len(word) - 2) // 2), 2 if len(word) <= 24 else 1 if len(word) <= 64 else 0)
+    """``word`` with up to ``edits`` characters left out; words of less than five letters lose one, of less than three none."""
+    most = min(edits, 2 if len(word) >= 5 else 1 if len(word) >= 3 else 0)
     return {"".join(c for i, c in enumerate(word) if i not in left) for n in range(most + 1) for left in map(set, combinations(range(len(word)), n))}
 
 
+def _pieces(length: int) -> list[tuple[int, int]]:
+    return [(k * length // PIECES, (k + 1) * length // PIECES) for k in range(PIECES)]
+
+
+def asks(word: str, edits: int = EDITS) -> set[str]:
+    """Keys of a word as it is written: it shares one with ``holds`` of every word within ``edits`` errors, of two at most.
+
+    Of a long word's pieces, two errors, either of which may be an exchange across a seam, leave one whole, and move it by
+    two places at most.
+    """
+    out = shortened(word, edits) if len(word) < LONG else set()
+    for length in range(max(len(word) - edits, LONG - EDITS), len(word) + edits + 1):
+        for k, (a, b) in enumerate(_pieces(length)):
+            out |= {f"{length}.{k}.{word[a + by : b + by]}" for by in range(-edits, edits + 1) if a + by >= 0}
+    return out
+
+
+def holds(word: str, edits: int = EDITS) -> set[str]:
+    """Keys of a word as it is meant."""
+    out = shortened(word, edits) if len(word) < LONG else set()
+    if len(word) >= LONG - EDITS:
+        out |= {f"{len(word)}.{k}.{word[a:b]}" for k, (a, b) in enumerate(_pieces(len(word)))}
+    return out
+
+
 #: The rows of a keyboard.
 KEYBOARD = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
 EXTRA, OTHER = 1.5, 2.5
@@ -233,6 +266,35 @@ def cost_of_words(words: list[str], full: list[str]) -> float | None:
     return cost + ERROR * edits if edits <= EDITS + 0.5 else None
 
 
+def _stems(word: str, meant: bool) -> set[str]:
+    """What an error at the beginning of a word leaves of it, as keys that allow one more error."""
+    return {key for at in range(3) for key in (holds if meant else asks)(word[at:], 1)}
+
+
+@lru_cache(50_000)
+def crowd_keys(label: str, given: str, letters: str, words: tuple[str, ...], meant: bool) -> frozenset[str]:
+    """Keys of the parts of a form beside its anchor, as written or as meant: wherever the channel allows a candidate, one is shared."""
+    if label == "PERSON":
+        if meant:
+            nicks = [nick for nick, names in FULL_NAMES.items() if given in names]
+            return frozenset({"=" + given, "i" + given[:1], *("~" + k for w in (given, *nicks) for k in holds(w))})
+        if given:
+            known = {given, *FULL_NAMES.get(given, ()), *(nick for nick, names in FULL_NAMES.items() if given in names)}
+            return frozenset({*("=" + w for w in known), *("~" + k for k in asks(given))})
+        return frozenset({"i" + letters[:1]} if letters else ())
+    bare = [w.strip(".") or w for w in words]
+    initials = lambda *left: "".join(sorted(w[0] for i, w in enumerate(bare) if i not in left))
+    out = {f"{len(bare)}p{initials()}"}
+    # one or two words with an error in their first letter; the others keep theirs
+    out |= {f"{len(bare)}q{initials(i)}|{k}" for i, w in enumerate(bare) for k in _stems(w, meant)}
+    out |= {f"{len(bare)}r{initials(i, j)}|{k}" for i, j in permutations(range(len(bare)), 2) for k in _stems(bare[i], meant)}
+    if meant and len(bare) > 1:
+        out.add("a" + initials())
+    if not meant and len(bare) == 1:
+        out.add("a" + "".join(sorted(bare[0])))
+    return frozenset(out)
+
+
 def _in_order(short: str, word: str) -> bool:
     rest = iter(word)
     return all(c in rest for c in short)
@@ -273,9 +335,10 @@ def forms(spelled: DataFrame) -> DataFrame:
     read = org.mapInPandas(words, f"{kind}, words array<string>")
     each = read.select("label", "surface", "n", "words", F.posexplode("words").alias("at", "word"))
     # how many spellings hold a word, one error aside: a mistyped frequent word isn't rare
-    near = _mapped(lambda w: sorted(shortened(w, 1)), "array<string>")
-    keyed = each.select("word").groupBy("word").agg(F.count("*").alias("n_word")).select("word", "n_word", F.explode(near("word")).alias("key"))
-    frequent = keyed.select("word", "key").join(keyed.groupBy("key").agg(F.max("n_word").alias("most")), "key").groupBy("word").agg(F.max("most").alias("spread"))
+    asked, held = _mapped(lambda w: sorted(asks(w, 1)), "array<string>"), _mapped(lambda w: sorted(holds(w, 1)), "array<string>")
+    counted = each.select("word").groupBy("word").agg(F.count("*").alias("n_word"))
+    most = counted.select("n_word", F.explode(held("word")).alias("key")).groupBy("key").agg(F.max("n_word").alias("most"))
+    frequent = counted.select("word", F.explode(asked("word")).alias("key")).join(most, "key").groupBy("word").agg(F.max("most").alias("spread"))
     able = _mapped(may_anchor, "boolean")
     order = Window.partitionBy("surface").orderBy(F.desc("able"), "spread", F.desc(F.length("word")), "at")
     ranked = each.join(frequent, "word").withColumn("able", able("word")).withColumn("nth", F.row_number().over(order)).where("nth = 1")
@@ -301,24 +364,33 @@ def attributed(read: DataFrame) -> DataFrame:
     # a name of its own is spelled in several ways; a mistyped one rarely twice
     spelled = read.groupBy("label", "anchor").agg(F.count("*").alias("n_spelled"))
     anchors = spelled.select("label", "anchor")
-    keys = _mapped(lambda w: sorted(shortened(w)), "array<string>")
-    keyed = anchors.select("label", "anchor", F.explode(keys("anchor")).alias("key"))
-    near = keyed.join(keyed.select("label", "key", F.col("anchor").alias("to_anchor")), ["label", "key"]).select("label", "anchor", "to_anchor").distinct()
+    asked, held = _mapped(lambda w: sorted(asks(w)), "array<string>"), _mapped(lambda w: sorted(holds(w)), "array<string>")
+    by_key = anchors.select("label", F.col("anchor").alias("to_anchor"), F.explode(held("anchor")).alias("key"))
+    near = anchors.select("label", "anchor", F.explode(asked("anchor")).alias("key")).join(by_key, ["label", "key"]).select("label", "anchor", "to_anchor").distinct()
+    crowded = base.groupBy("label", F.col("anchor").alias("to_anchor")).agg((F.count("*") > CROWD).alias("crowded"))
+    near = near.join(crowded, ["label", "to_anchor"])  # anchors without a candidate explain nothing
     rank = base.select("label", "anchor", "given", "words", F.col("n").alias("own_n"), F.col("to").alias("own"))
     form, base = form.join(spelled, ["label", "anchor"]), base.join(spelled, ["label", "anchor"])
     left = (
         form.join(n_given, "given", "left").join(rank, ["label", "anchor", "given", "words"], "left")
         .select("form", *own, "n_spelled", F.coalesce("n_given", F.lit(0)).alias("n_given"), F.coalesce("own_n", F.lit(0)).alias("own_n"), F.coalesce("own", F.lit("")).alias("own"))
     )
-    right = base.join(n_given, "given", "left").select(
-        "label", F.col("anchor").alias("to_anchor"), F.col("given").alias("to_given"), F.col("words").alias("to_words"), F.col("n").alias("to_n"), F.concat_ws("", "middle").alias("to_letters"), "to", F.col("n_spelled").alias("to_n_spelled"), F.coalesce("n_given", F.lit(0)).alias("to_n_given")
+    right = base.join(n_given, "given", "left").join(crowded.withColumnRenamed("to_anchor", "anchor"), ["label", "anchor"]).select(
+        "label", F.col("anchor").alias("to_anchor"), F.col("given").alias("to_given"), F.col("words").alias("to_words"), F.col("n").alias("to_n"), F.concat_ws("", "middle").alias("to_letters"), "to", F.col("n_spelled").alias("to_n_spelled"), F.coalesce("n_given", F.lit(0)).alias("to_n_given"), "crowded"
     )
-    pairs = spread(left.join(near, ["label", "anchor"]).join(right, ["label", "to_anchor"]), "form")
+    left = left.join(near, ["label", "anchor"]).withColumn("key", F.explode(_crowd_keys(False)("label", "given", "letters", "words", "crowded"))).drop("crowded")
+    right = right.withColumn("key", F.explode(_crowd_keys(True)("label", "to_given", F.lit(""), "to_words", "crowded"))).drop("crowded")
+    pairs = spread(left.join(right, ["label", "to_anchor", "key"]), "form")
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for r in frame.itertuples(index=False):
+                if r.key:
+                    # a pair may share several keys and is looked at under the first
+                    written, meant = crowd_keys(r.label, r.given, r.letters, tuple(r.words), False), crowd_keys(r.label, r.to_given, "", tuple(r.to_words), True)
+                    if r.key != min(written & meant):
+                        continue
                 if r.own == r.to:
                     out.append((r.form, r.to, log(r.to_n) - BIRTH))
                     continue
@@ -334,8 +406,22 @@ def attributed(read: DataFrame) -> DataFrame:
                     out.append((r.form, r.to, log(r.to_n) - cost - ERROR * mistyped))
             yield pd.DataFrame(out, columns=["form", "to", "posterior"])
 
-    scored = pairs.mapInPandas(run, "form string, to string, posterior double")
-    return scored.groupBy("form").agg(F.max_by("to", F.struct(F.col("posterior"), F.col("to"))).alias("to"))
+    return best(pairs.mapInPandas(run, "form string, to string, posterior double"))
+
+
+def best(scored: DataFrame) -> DataFrame:
+    """``form, to``: of each form's candidates that of the greatest posterior; of equal ones the first by code point."""
+    return scored.groupBy("form").agg(F.min_by("to", F.struct(-F.col("posterior"), F.col("to"))).alias("to"))
+
+
+def _crowd_keys(meant: bool):
+    """``crowd_keys`` as a function of columns; where there is no crowd the one key is empty."""
+
+    def run(label: pd.Series, given: pd.Series, letters: pd.Series, words: pd.Series, crowded: pd.Series) -> pd.Series:
+        rows = zip(label, given, letters, words, crowded, strict=True)
+        return pd.Series([sorted(crowd_keys(x, g, i, tuple(w), meant)) if c else [""] for x, g, i, w, c in rows])
+
+    return F.pandas_udf(run, "array<string>")
 
 
 def classes(entities: DataFrame) -> DataFrame:
@@ -354,9 +440,15 @@ def classes(entities: DataFrame) -> DataFrame:
     return read.join(to, "form", "left").select("label", "surface", "n", F.coalesce("to", "form").alias("class_id"))
 
 
-def linked(entities: DataFrame) -> DataFrame:
-    """``label, surface_a, surface_b``: pairs of different spellings of one class."""
+def linked(entities: DataFrame, block: int = BLOCK) -> DataFrame:
+    """``label, surface_a, surface_b``: pairs of different spellings of one class.
+
+    A class of more than ``block`` spellings is split into blocks by hash, and each pair of blocks is a key of its own.
+    """
     members = cut_lineage(classes(entities).select("label", "class_id", "surface"))
-    other = members.select("label", "class_id", F.col("surface").alias("surface_b"))
-    joined = members.withColumnRenamed("surface", "surface_a").join(other, ["label", "class_id"])
-    return joined.where("surface_a < surface_b").select("label", "surface_a", "surface_b")
+    sizes = members.groupBy("label", "class_id").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"), F.count("*").alias("n")).where("n > 1").drop("n")
+    placed = members.join(sizes, ["label", "class_id"]).withColumn("i", F.pmod(F.xxhash64("surface"), F.col("blocks")).cast("int"))
+    each = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    a = placed.select("label", "class_id", F.col("surface").alias("surface_a"), "i", each.alias("j"))
+    b = placed.select("label", "class_id", F.col("surface").alias("surface_b"), F.col("i").alias("j"), each.alias("i"))
+    return a.join(b, ["label", "class_id", "i", "j"]).where("surface_a < surface_b").select("label", "surface_a", "surface_b")

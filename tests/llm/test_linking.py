@@ -111,6 +111,63 @@ def test_variants(spark):
     assert names.linked(frame.where("label = 'GPE'")).count() == 0
 
 
+def mistyped(random, word, n):
+    for _ in range(n):
+        k = random.randrange(len(word))
+        word = random.choice([word[:k] + word[k + 1 :], word[:k] + word[k + 1 : k + 2] + word[k : k + 1] + word[k + 2 :], word[:k] + word[k] + word[k:], word[:k] + random.choice(names.NEAR.get(word[k], "x") or "x") + word[k + 1 :]])
+    return word
+
+
+@pytest.mark.parametrize("size", [3, 4, 5, 6, 12, 22, 23, 24, 25, 26, 28, 64, 70, 200])
+def test_keys_miss_no_error(size):
+    """Words of any length within the errors that ``errors`` accepts share a key."""
+    random = Random(size)
+    for _ in range(300):
+        word = "".join(random.choice("abcdefgh") for _ in range(size))
+        written = mistyped(random, word, random.randint(0, 2))
+        for loose in (False, True):
+            if names.errors(written, word, loose) is not None:
+                assert names.asks(written) & names.holds(word)
+                assert names.asks(word) & names.holds(written)
+    one, other = "internationalisierungsgesell", "intrnationalisierungsgesel"
+    assert names.errors(other, one) is not None and names.asks(other) & names.holds(one)
+
+
+def test_crowd_keys_miss_no_candidate():
+    random = Random(3)
+    stock = ["water", "forestry", "rural", "roads", "mining", "of", "transport", "bank", "zoo", "internationalisierungsgesell"]
+    given = ["robert", "bob", "al", "elizabeth", "beth", "oliver", "ann"]
+    checked = 0
+    for _ in range(20_000):
+        full = sorted(random.sample(stock, random.randint(0, 4)))
+        words = sorted(mistyped(random, w, random.choice([0, 0, 0, 1, 2])) or "x" for w in full)
+        words = [w[: random.randint(1, 4)] + "." if random.random() < 0.15 else w for w in words]
+        if len(full) > 1 and random.random() < 0.1:
+            words = ["".join(w[0] for w in full)]
+        if names.cost_of_words(words, full) is not None:
+            checked += 1
+            assert names.crowd_keys("ORG", "", "", tuple(words), False) & names.crowd_keys("ORG", "", "", tuple(full), True)
+        name, letters = random.choice(given), random.choice(["", "r", "b", "ra"])
+        written = random.choice(["", mistyped(random, random.choice(given), random.randint(0, 2)), random.choice(given)])
+        if names.cost_of_given(written, letters, 1, name, "", 100) is not None:
+            checked += 1
+            assert names.crowd_keys("PERSON", written, letters, (), False) & names.crowd_keys("PERSON", name, "", (), True)
+    assert checked > 10_000
+
+
+def test_a_crowded_anchor_is_split_without_loss(spark, data, monkeypatch):
+    """Keys for crowds and blocks of a class change no result."""
+    frame = spark.read.parquet(f"{data}/entities.parquet")
+    want = {tuple(r) for r in names.linked(frame).collect()}
+    monkeypatch.setattr(names, "CROWD", 0)
+    assert {tuple(r) for r in names.linked(frame, 2).collect()} == want and len(want) > 20
+
+
+def test_ties_go_to_the_first_form(spark):
+    scored = spark.createDataFrame([("f", "b", 1.5), ("f", "a", 1.5), ("f", "c", 1.0), ("g", "z", -2.0)], "form string, to string, posterior double")
+    assert {tuple(r) for r in names.best(scored).collect()} == {("f", "a"), ("g", "z")}
+
+
 @pytest.mark.parametrize(
     ("surface", "want"),
     [
