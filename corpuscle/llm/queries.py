@@ -18,7 +18,11 @@ def p1_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p1_paragraphs(spark: SparkSession, folder: str) -> DataFrame:
-    return scanned.paragraphs(table(spark, folder, "content_list"))
+    return scanned.paragraphs(table(spark, folder, "content_list"), table(spark, folder, "documents"))
+
+
+def p1_letters(spark: SparkSession, folder: str) -> DataFrame:
+    return scanned.letters(table(spark, folder, "content_list"), table(spark, folder, "documents"))
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
