@@ -315,9 +315,8 @@ k - Pumps 9 %
 ; 3
 b - Roads and bridges of the northern provinces, which were to be
 k built by a company from the coast.
-b - Two harbours, of which the smaller one was to be finished two
-b years before the other, so that fish could be landed there in
-k time.
+k - Two harbours
+k - A road to the mines that lie beyond the lakes
 ; 5
 k Wells by district
 k (a) North 7
