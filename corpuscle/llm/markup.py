@@ -1,10 +1,11 @@
 """Problem 5: markup residue in tables, by a decision tree over flat text blocks.
 
 A table body is read as a flat list of text blocks, its cells (or one block, where there is no grid). A block is described
-by shallow text features, as in boilerplate detection: its word count and link density and those of the blocks before and
-after it, and how often the marks of each notation occur. For each notation a decision tree, trained here on the small
-labelled table ``LABELLED``, says whether the block holds it. ``clean`` then turns what was found into plain text that
-keeps rows, cells, headings, lists, code and formulas.
+by shallow text features, as in boilerplate detection: its word count, its link density in each notation (the share of its
+words that stand in links), word count and link density of the blocks before and after it, and how often the other marks of
+each notation occur. For each notation a decision tree, trained here on the small labelled tables of ``LABELLED``, whose
+blocks stand among their real neighbours, says whether the block holds it. Links are known by their density only. ``clean``
+then turns what was found into plain text that keeps rows, cells, headings, lists, code and formulas.
 
 Defined results: repeated deliveries of an element count once, rows without element_id not at all; null and empty bodies
 hold nothing; grid tags and character references of single characters are no markup; a body is read whole.
@@ -29,15 +30,12 @@ TAG = r"</?[A-Za-z][A-Za-z0-9]*(?:\s[^<>]*)?/?>|<!--.*?(?:-->|$)"
 #: What is counted in a block, in the order of the features.
 MARKS = {
     "tag": re.compile(TAG, re.S),
-    "wiki_link": re.compile(r"\[\[[^\[\]\n]+\]\]"),
     "wiki_template": re.compile(r"\{\{[^{}\n]+\}\}"),
     "wiki_quotes": re.compile(r"(?<!')('{2,3}|'{5})(?=[^\s'])[^'\n]*[^\s']\1(?!')"),
     "wiki_heading": re.compile(r"^[ \t]*(={2,6})[^=\n]+\1[ \t]*$", re.M),
-    "wiki_url": re.compile(r"(?<![\]!\w])\[(?:https?|ftp)://[^\s\]]+ [^\]\n]+\](?!\()"),
     "wiki_list": re.compile(r"^(?:\*|#|\*\*|\*#)[ \t]+\S[^\n]*\n[ \t]*(?:\*\*|##|\*#|#\*|:)\s*\S", re.M),
     "wiki_table": re.compile(r"^[ \t]*\{\|[^\n]*\n", re.M),
     "md_emphasis": re.compile(r"(?<![\w*])(\*{2,3})(?=[^\s*])[^*\n]*[^\s*]\1(?![\w*])|(?<![\w_])__(?=[^\s_])[^\n]*?[^\s_]__(?![\w_])|~~(?=[^\s~])[^~\n]+~~"),
-    "md_link": re.compile(r"!?\[[^\[\]\n]*\]\([^()\s]+(?:\s+\"[^\"]*\")?\)"),
     "md_heading": re.compile(r"^(?:#{2,6}\s+\S|#\s+[A-Z])", re.M),
     "md_code": re.compile(r"```[^`]*```|(?<![`\w])`[^`\n]+`(?!`)"),
     "md_quote": re.compile(r"^>[ \t]+\S[^\n]*\n>[ \t]*\S", re.M),
@@ -50,143 +48,188 @@ MARKS = {
     "tex_row": re.compile(r"\\\\\s*(?:\\hline|\n|$)"),
 }
 PATHS = re.compile(r"\b[A-Za-z]:\\|\\\\\w+\\")
-LINKS = re.compile(r"<a\s[^>]*>(.*?)</a>|\[\[[^\[\]]+\]\]|!?\[[^\[\]\n]*\]\([^()\s]+\)|\[https?://\S+ [^\]\n]+\]|https?://\S+", re.S | re.I)
+#: Links of each notation; a bare address counts as one of its neighbourhood only.
+LINKS = {
+    "html": re.compile(r"<a\s[^>]*>(?:.*?</a>)?", re.S | re.I),
+    "markdown": re.compile(r"!?\[[^\[\]\n]*\]\([^()\s]+(?:\s+\"[^\"]*\")?\)(?!\w)"),
+    "wiki": re.compile(r"\[\[[^\[\]\n]+\]\]|(?<![\]!\w])\[(?:https?|ftp)://[^\s\]]+ [^\]\n]+\](?!\()"),
+}
+#: The density of a block with a link is this at least, so that a link in a long block is seen.
+LEAST_LINK = 0.05
+ADDRESS = re.compile(r"https?://\S+")
 PLAIN = re.compile(r"[\w\s.,%:;/+-]*")
 WORD = re.compile(r"\w+")
-FEATURES = (*MARKS, "path", "words", "links", "words_before", "links_before", "words_after", "links_after")
+NEAR = ("words_before", "links_before", "words_after", "links_after")
+FEATURES = (*MARKS, "path", "words", *(f"links_{kind}" for kind in LINKS), *NEAR)
 
-#: The labelled table: a notation, or "none", and a block that holds it ("¶" is a line end).
+#: The labelled tables, apart by a blank line: of each block its notation, or "none", and its text ("¶" is a line end).
 LABELLED = r"""
+none|District
+none|# of units
+none|Share
+none|Remarks
 html|<b>total</b>
-html|<em>unfinished
+none|12.5
+none|0.31**
 html|value<br/>see below
-html|x<sup>2</sup>
-html|<span style="color:red">7</span>
-html|<p class=Normal>costs of the second year
-html|<ul><li>one</li><li>two</li></ul>
-html|<a href="http://example.invalid/a">more about the survey</a>
-html|<!-- hidden --> 12
-html|<!-- never closed
-html|<code>run()</code>
-html|<pre>load a¶  b</pre>
-html|<h2>Results</h2>
-html|<FONT size=3>old</FONT>
-html|<html><body>
-html|</body></html>
-html|<div>
-html|<img src="a.png"/>
+none|North
+none|#12
 html|<i>5</i>
-html|<strong>rural</strong> roads and bridges
-markdown|**bold words**
-markdown|***both***
-markdown|__strong__
-markdown|~~gone~~
-markdown|`code`
-markdown|see `run` first
-markdown|```¶sum(x)¶```
-markdown|[text](http://example.invalid/b)
-markdown|![figure](fig1.png)
-markdown|## Heading¶
-markdown|# Title
-markdown|> quoted words¶> go on
-markdown|- one¶- two¶- three
-markdown|+ one¶+ two
-markdown|1. first¶2. second
-markdown|1) first¶2) second
-markdown|| a | b |¶|---|---|¶| 1 | 2 |
-markdown|| a | b | c |¶|:--|:--|--:|¶| 1 | 2 | 3 |
-markdown|a | b¶--- | ---¶1 | 2
-markdown|**12** and more
+none|n.a.
+html|<em>unfinished
+none|(# of units)
 markdown|~~31~~
-markdown|**2,100** households in the delta
-wiki|[[Page]]
-wiki|[[page|shown words]]
-wiki|[[File:a.png|thumb|caption of it]]
-wiki|{{cite|title=x}}
-wiki|{{Increase|12}}
-wiki|''slanted''
-wiki|'''bold'''
-wiki|'''''both'''''
-wiki|== Section ==
-wiki|=== Deeper ===
-wiki|[http://example.invalid/c shown]
-wiki|* item¶** below it
-wiki|# item¶## below it
-wiki|{| class="x"¶! A !! B¶|-¶| 1 || 2¶|}
-wiki|{|¶! A¶|-¶| words of a row¶|}
-wiki|''7''
-wiki|'''12'''
-wiki|{{flag|X}} north
-latex|\textbf{words}
-latex|\emph{9}
-latex|\section*{Part}
-latex|\frac{a}{100}
-latex|\multicolumn{2}{c}{sum}
-latex|\begin{itemize} \item one \end{itemize}
-latex|\begin{tabular}{lr}¶a & b \\ \hline¶1 & 2 \\¶\end{tabular}
-latex|$x^{2} + 1$ of the area
-latex|$\sum_i y_i$
-latex|$\mathrm{CO_{2}}$
-latex|\( \alpha = 0.5 \)
-latex|\[ a = b \]
-latex|12\%
-latex|staff \& equipment
-latex|wages\%
-latex|\textit{total} \\ \hline
-latex|\cite[p. 2]{key}
-latex|$a_1$
-none|12.5
 none|words of a plain cell
-none|n.a.
-none|-
+
+none|Area (ha)
 none|12.5*
-none|0.31**
-none|0.02***
-none|[12]
-none|#12
-none|# of units
-none|(# of units)
+none|'as reported'
+latex|wages\%
+none|Lakes
 none|> 15 km
+html|<span style="color:red">7</span>
+html|<a href="http://example.invalid/a">more about the survey</a>
+none|Coast
 none|< 5 %
+markdown|**12** and more
+markdown|[text](http://example.invalid/b)
+wiki|[[Page]]
 none|3 < 4 km
-none|a < b and c > d
+wiki|''7''
+wiki|[[page|shown words]]
+
+none|Project
 none|$2-$12 per day
+none|[12]
+wiki|{{flag|X}} north
 none|$ 3.4 million
+none|[see note](a)b
+wiki|[http://example.invalid/c shown]
 none|$5 to $7
+none|http://example.invalid/x
+html|<p class=Normal>costs of the second year
+none|US$ 3 & 4
+none|50% of $10
+
+html|<ul><li>one</li><li>two</li></ul>
+markdown|- one¶- two¶- three
+wiki|* item¶** below it
+none|* estimate
+markdown|+ one¶+ two
+wiki|# item¶## below it
+none|1. Introduction
+markdown|1. first¶2. second
+none|one line¶and another
+markdown|1) first¶2) second
+none|(a) yes; (b) no
+latex|\begin{itemize} \item one \end{itemize}
+
+none|a < b and c > d
+html|<!-- hidden --> 12
 none|A_1 / B_2
+html|<!-- never closed
 none|IND_12_B
+html|<code>run()</code>
 none|a_b_c
+html|<pre>load a¶  b</pre>
 none|x = 1, y = 2
+markdown|`code`
 none|a == b
+markdown|see `run` first
 none|{n = 25}
+markdown|```¶sum(x)¶```
+none|`
+html|<h2>Results</h2>
+wiki|== Section ==
+wiki|=== Deeper ===
+markdown|## Heading¶
+markdown|# Title
+latex|\section*{Part}
+
 none|12'' pipe
+wiki|''slanted''
 none|4' 6'' high
-none|'as reported'
+wiki|'''bold'''
 none|D:\annex\t1.xls
+wiki|'''''both'''''
 none|\\server\share\file
+latex|\emph{9}
 none|C:\data\new table.csv
+latex|\textbf{words}
 none|10^6 m3
+latex|$x^{2} + 1$ of the area
 none|~ 20
+latex|$\sum_i y_i$
 none|-3.1
+latex|\( \alpha = 0.5 \)
 none|- none
+latex|\[ a = b \]
 none|a | b
-none|(a) yes; (b) no
+latex|$a_1$
+
 none|2010-2014
 none|R&D staff
-none|1. Introduction
-none|* estimate
+latex|staff \& equipment
+none|0.02***
+markdown|***both***
 none|2 * 3
-none|[see note](a)b
-none|50% of $10
-none|US$ 3 & 4
+markdown|__strong__
 none|~5 and ~6
-none|http://example.invalid/x
+markdown|~~gone~~
 none|<5
+markdown|**bold words**
 none|x<y
-none|Area (ha)
-none|`
+markdown|> quoted words¶> go on
 none|a > b¶c > d
-none|one line¶and another
+latex|12\%
+latex|\frac{a}{100}
+none|-
+latex|$\mathrm{CO_{2}}$
+latex|\multicolumn{2}{c}{sum}
+latex|\textit{total} \\ \hline
+
+none|Source
+none|The figures of the first year are those of the survey of households, which asked for the cost of water, the way to the next well, the number of cattle and the schooling of children, and left out the islands and the towns of the coast, where no list of households was at hand, and the camps.
+wiki|The figures of the second year are those of the [[census]], which asked for the cost of water, the way to the next well, the number of cattle and the schooling of children, and left out the islands and the towns of the coast, where no list of households was at hand, and the camps.
+markdown|The figures of the third year are those of the [register](r.htm), which holds the cost of water, the way to the next well, the number of cattle and the schooling of children, and leaves out the islands and the towns of the coast, where no list of households was at hand, and the camps.
+html|The figures of the last year are those of the <a href="r.htm">register</a>, which holds the cost of water, the way to the next well, the number of cattle and the schooling of children, and leaves out the islands and the towns of the coast, where no list of households was at hand, and the camps.
+none|Notes [1] and (2) hold.
+html|<strong>rural</strong> roads and bridges
+markdown|**2,100** households in the delta
+none|see http://example.invalid/long/path for more
+
+html|<img src="a.png"/>
+markdown|![figure](fig1.png)
+wiki|[[File:a.png|thumb|caption of it]]
+none|Figure 1
+html|x<sup>2</sup>
+wiki|{{cite|title=x}}
+latex|\cite[p. 2]{key}
+wiki|{{Increase|12}}
+wiki|'''12'''
+html|<FONT size=3>old</FONT>
+
+html|<html><body>
+
+html|</body></html>
+
+html|<div>
+
+markdown|| a | b |¶|---|---|¶| 1 | 2 |
+
+markdown|| a | b | c |¶|:--|:--|--:|¶| 1 | 2 | 3 |
+
+markdown|a | b¶--- | ---¶1 | 2
+
+wiki|{| class="x"¶! A !! B¶|-¶| 1 || 2¶|}
+
+wiki|{|¶! A¶|-¶| words of a row¶|}
+
+latex|\begin{tabular}{lr}¶a & b \\ \hline¶1 & 2 \\¶\end{tabular}
+
+none|a plain body without a grid
+
+none|12 | 14 | 15
 """
 
 
@@ -196,15 +239,18 @@ def describe(blocks: list[str]) -> list[tuple]:
     for block in blocks:
         words = len(WORD.findall(block))
         if PLAIN.fullmatch(block) and "\n" not in block and "__" not in block and "://" not in block:
-            base.append(((0,) * len(MARKS) + (0,), min(words, 99), 0.0))
+            base.append(((0,) * (len(MARKS) + 1), min(words, 99), (0.0,) * len(LINKS), 0.0))
             continue
         path = bool(PATHS.search(block))
         counts = tuple(min(3, sum(1 for _ in pattern.finditer(block))) for pattern in MARKS.values())
-        linked = sum(len(WORD.findall(m[1] if m[1] is not None else m[0])) for m in LINKS.finditer(block))
-        base.append(((*counts, int(path)), min(words, 99), round(min(1.0, linked / words) if words else 0.0, 2)))
-    nothing = ((), 0, 0.0)
+        linked = [sum(len(WORD.findall(m[0])) or 1 for m in pattern.finditer(block)) for pattern in LINKS.values()]
+        bare = 0 if any(linked) else sum(len(WORD.findall(m[0])) for m in ADDRESS.finditer(block))
+        share = lambda n: n and max(LEAST_LINK, min(1.0, n / max(words, 1)))
+        base.append(((*counts, int(path)), min(words, 99), tuple(map(share, linked)), share(sum(linked) + bare)))
+    nothing = ((), 0, (), 0.0)
     around = [nothing, *base, nothing]
-    return [(*marks, words, links, *around[i][1:], *around[i + 2][1:]) for i, (marks, words, links) in enumerate(base)]
+    near = lambda row: (row[1], round(row[3], 1))
+    return [(*marks, words, *links, *near(around[i]), *near(around[i + 2])) for i, (marks, words, links, _) in enumerate(base)]
 
 
 @dataclass(frozen=True)
@@ -249,19 +295,28 @@ def grow(rows: list[tuple], labels: list[bool], depth: int = 12) -> Node:
 
 @lru_cache(1)
 def trees() -> dict[str, Node]:
-    """A tree for each notation, trained on the labelled table."""
-    lines = [line.split("|", 1) for line in LABELLED.strip("\n").split("\n")]
-    # a labelled block stands alone, between two plain cells and between two linked ones
+    """A tree for each notation, trained on the labelled tables."""
     rows, labels = [], []
-    for kind, text in lines:
-        block = text.replace("¶", "\n")
-        for neighbours in ([], ["12.5"], ["[[words]]"], ["one two three four"]):
-            features = describe([*neighbours, block, *neighbours])
-            rows.append(features[len(neighbours)])
-            labels.append(kind)
+    for table in LABELLED.strip("\n").split("\n\n"):
+        blocks = [line.split("|", 1) for line in table.split("\n")]
+        rows += describe([text.replace("¶", "\n") for _, text in blocks])
+        labels += [kind for kind, _ in blocks]
     return {kind: grow(rows, [label == kind for label in labels]) for kind in KINDS}
 
 
+def drawn(node: Node, depth: int = 0) -> str:
+    """A tree as lines of text."""
+    if node.feature < 0:
+        return "  " * depth + ("yes" if node.answer else "no") + "\n"
+    head = "  " * depth + f"{FEATURES[node.feature]} > {node.value:.3g}\n"
+    return head + drawn(node.more, depth + 1) + drawn(node.less, depth + 1)
+
+
+def used(node: Node) -> set[str]:
+    """The features that a tree asks for."""
+    return set() if node.feature < 0 else {FEATURES[node.feature]} | used(node.less) | used(node.more)
+
+
 CELL = re.compile(r"<(?:td|th)(?:\s[^<>]*)?>(.*?)(?=</?(?:td|th|tr|thead|tbody|table)(?:\s[^<>]*)?>|$)", re.S | re.I)
 
 

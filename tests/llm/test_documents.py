@@ -176,3 +176,17 @@ def test_model_keeps_paragraphs_apart():
     lines = ["One paragraph ends here.", "", "Another begins and goes on for a while, as most of", "them do.", "Page 7"]
     assert scanned.labels(lines, 6)[1:] == ("break", "body", "break", "header")
     assert scanned.labels([], 0) == ()
+
+
+def test_trees_ask_for_words_and_links_of_real_sequences():
+    """Links are known by their density only, labelled blocks stand among their neighbours, and the trees give their table back."""
+    asked = {kind: markup.used(tree) for kind, tree in markup.trees().items()}
+    assert "links_markdown" in asked["markdown"] and "links_wiki" in asked["wiki"]
+    assert not any("link" in mark or "url" in mark for mark in markup.MARKS)
+    kinds = markup.Classifier()
+    for table in markup.LABELLED.strip("\n").split("\n\n"):
+        blocks = [line.split("|", 1) for line in table.split("\n")]
+        for (kind, _), row in zip(blocks, markup.describe([text.replace("¶", "\n") for _, text in blocks]), strict=True):
+            assert kinds.decided(row) == ((kind,) if kind != "none" else ())
+    for kind, link in (("wiki", "[[link]]"), ("markdown", "[a](b)"), ("html", '<a href="x">y</a>')):
+        assert kinds.kinds("word " * 4_000 + link + " word" * 4_000) == [kind]
