@@ -2,8 +2,8 @@
 
 A header is a text element with a level; it ends the section before it and puts its text in place of the headers of its
 own and deeper levels. A blank header only ends the section. A table is a chunk of its own under the path at its place
-and stands before the text chunk of its section; images and other types give nothing. Deliveries of an element are made
-one before.
+and stands before the text chunks of its section; images and other types give nothing. The text of a section is split into
+chunks of a bounded number of tokens (see splitting). Deliveries of an element are made one before.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from corpuscle.functions.pandas_text import table_to_markdown
 from corpuscle.functions.text import header_line, stripped
 from corpuscle.operators.ordered import running_last
+from corpuscle.operators.splitting import Splitter, sentence_splitter
 
 LEVELS = 6
 
@@ -44,7 +45,7 @@ def with_paths(content: DataFrame, levels: int = LEVELS) -> DataFrame:
     return placed.select("doc_id", "pos", "type", "text", "text_level", "table_body", F.coalesce(F.col("mark.pos"), F.lit(-1)).alias("section"), path.alias("header_path"))
 
 
-def text_chunks(content: DataFrame) -> DataFrame:
+def section_texts(content: DataFrame) -> DataFrame:
     """``doc_id, section, header_path, text`` of each section with text, its header line first."""
     rows = with_paths(content).where("type = 'text'")
     header = F.col("text_level").isNotNull()
@@ -57,6 +58,12 @@ def text_chunks(content: DataFrame) -> DataFrame:
     return grouped.select("doc_id", "section", "header_path", text.alias("text")).where("text <> ''")
 
 
+def text_chunks(content: DataFrame, splitter: Splitter | None = None) -> DataFrame:
+    """``doc_id, section, header_path, split, text``: the texts of sections in chunks by ``splitter``, 1,024 tokens with an overlap of 20 if none is given."""
+    split = (splitter or sentence_splitter())(F.col("text"))
+    return section_texts(content).select("doc_id", "section", "header_path", F.posexplode(split).alias("split", "text"))
+
+
 def table_places(content: DataFrame) -> DataFrame:
     """``doc_id, section, pos, header_path, table_body`` of each table with a body."""
     return with_paths(content).where("type = 'table' and table_body is not null").select("doc_id", "section", "pos", "header_path", "table_body")
@@ -67,9 +74,9 @@ def table_chunks(content: DataFrame) -> DataFrame:
     return table_places(content).select("doc_id", "section", "pos", "header_path", table_to_markdown("table_body").alias("text")).where("text is not null")
 
 
-def chunks(content: DataFrame) -> DataFrame:
-    """``chunk_id, doc_id, ordinal, header_path, text, prev_id, next_id``: tables before the text of their section."""
-    texts = text_chunks(content).select("doc_id", "section", F.lit(1).alias("is_text"), F.col("section").alias("pos"), "header_path", "text")
+def chunks(content: DataFrame, splitter: Splitter | None = None) -> DataFrame:
+    """``chunk_id, doc_id, ordinal, header_path, text, prev_id, next_id``: tables before the texts of their section."""
+    texts = text_chunks(content, splitter).select("doc_id", "section", F.lit(1).alias("is_text"), F.col("split").alias("pos"), "header_path", "text")
     both = texts.unionByName(table_chunks(content).withColumn("is_text", F.lit(0)).select(*texts.columns))
     order = Window.partitionBy("doc_id").orderBy("section", "is_text", "pos")
     numbered = both.withColumn("ordinal", F.row_number().over(order) - 1)

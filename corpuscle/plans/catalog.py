@@ -11,6 +11,7 @@ from corpuscle.functions import text as x
 from corpuscle.functions.pandas_text import parse_answer
 from corpuscle.models import leading_sentences
 from corpuscle.operators import acronyms, annotate, chat, cograph, gazetteer, linker, metadata, sections, summaries, triples, vectors, windows
+from corpuscle.operators.splitting import sentence_splitter
 from corpuscle.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,6 +232,11 @@ def sections_text(spark, folder):
     return sections.text_chunks(table(spark, folder, "content_list"))
 
 
+@query
+def sections_split(spark, folder):
+    return sections.text_chunks(table(spark, folder, "content_list"), sentence_splitter(100, 20))
+
+
 @query
 def section_tables(spark, folder):
     return sections.table_places(table(spark, folder, "content_list"))

@@ -127,6 +127,22 @@ SECTIONS = f"""{PATHS},
 lines AS (SELECT *, CASE WHEN header THEN CASE WHEN title <> '' THEN repeat('#', text_level) || ' ' || title END ELSE coalesce(text, '') END AS line FROM placed WHERE type = 'text'),
 texts AS (SELECT doc_id, section, header_path, {strip("string_agg(line, chr(10) ORDER BY pos)")} AS text FROM lines WHERE line IS NOT NULL GROUP BY ALL)"""
 
+#: Units and greedy chunks, as corpuscle.operators.splitting has them, by a recursion over the chunks of each text.
+WORD_UNITS = rf"""flatten(list_transform(list_filter(regexp_extract_all(y, '[^ \t\n]+[ \t\n]*|[ \t\n]+'), lambda w: w <> ''),
+  lambda w: CASE WHEN {tokens('w')} > SIZE THEN list_transform(range(0, (len(w) - 1) // SIZE + 1), lambda k: substring(w, k * SIZE + 1, SIZE)) ELSE [w] END))"""
+SPLITS = (rf"""{SECTIONS},
+units AS (SELECT doc_id, section, header_path, flatten(list_transform(list_filter(regexp_extract_all(text, '[^\n]*?(?:[.!?]+(?:[ \t]+|\z)|\n+|\z)'), lambda y: y <> ''),
+  lambda y: CASE WHEN {tokens('y')} > SIZE THEN {WORD_UNITS} ELSE [y] END)) AS u FROM texts WHERE text <> ''),
+counts AS (SELECT *, list_transform(u, lambda y: {tokens('y')}) AS t FROM units),
+sums AS (SELECT *, list_transform(range(0, len(u) + 1), lambda k: coalesce(list_sum(t[1:k]), 0)::BIGINT) AS c FROM counts),
+spans AS (SELECT doc_id, section, 0 AS k, 1::BIGINT AS s, len(list_filter(c, lambda y: y <= SIZE))::BIGINT - 1 AS e FROM sums
+  UNION ALL SELECT doc_id, section, k + 1, following, len(list_filter(c, lambda y: y <= c[following] + SIZE))::BIGINT - 1 FROM (
+    SELECT p.doc_id, p.section, p.k, x.c, greatest(p.s + 1, len(list_filter(x.c, lambda y: y < greatest(x.c[p.e + 1] - OVERLAP, x.c[p.e + 2] - SIZE)))::BIGINT + 1) AS following
+    FROM spans p JOIN sums x USING (doc_id, section) WHERE p.e < len(x.u))),
+split AS (SELECT doc_id, section, header_path, (row_number() OVER (PARTITION BY doc_id, section ORDER BY k))::INT - 1 AS split, text FROM (
+  SELECT doc_id, section, header_path, k, {strip("array_to_string(u[s:e], '')")} AS text FROM spans JOIN sums USING (doc_id, section)) WHERE text <> '')""")
+SPLIT = lambda size, overlap: "WITH RECURSIVE " + SPLITS.replace("SIZE", str(size)).replace("OVERLAP", str(overlap))
+
 WORDS = f"words AS (SELECT doc_id, list_filter(string_split_regex(text, '{WS}+'), lambda y: y <> '') AS w FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)"
 PIECES = f"""{WORDS}, cut AS (SELECT doc_id, w, unnest(range(0, greatest(0, ceil((len(w) - 100) / 80.0)::BIGINT * 80) + 1, 80)) AS start FROM words WHERE len(w) > 0),
 pieces AS (SELECT doc_id, (start // 80)::INT AS ordinal, array_to_string(w[start + 1:start + 100], ' ') AS text FROM cut)"""
@@ -239,7 +255,8 @@ def oracle_sql() -> dict[str, str]:
         "chunk_triples": f"""WITH {TYPED_GRAPH}, {SAID} {graph(fact('chunks', uri('chunk', 'chunk_id'), TYPE, f"'{SCHEMA}TextObject'", 'uri'), fact('chunks', uri('chunk', 'chunk_id'), SCHEMA + 'text', 'text'), fact('chunks', uri('chunk', 'chunk_id'), PART_OF, uri('document', 'doc_id'), 'uri'), MENTIONED)}""",
         "mention_existing_only": f"WITH {TYPED_GRAPH}, {SAID} SELECT DISTINCT s, o FROM ({MENTIONED})",
         "header_path": f"WITH {PATHS} SELECT doc_id, pos, section, header_path FROM placed",
-        "sections_text": f"WITH {SECTIONS} SELECT doc_id, section, header_path, text FROM texts WHERE text <> ''",
+        "sections_text": f"{SPLIT(1024, 20)} SELECT doc_id, section, header_path, split, text FROM split",
+        "sections_split": f"{SPLIT(100, 20)} SELECT doc_id, section, header_path, split, text FROM split",
         "section_tables": f"WITH {PATHS} SELECT doc_id, section, pos, header_path, table_body FROM placed WHERE type = 'table' AND table_body IS NOT NULL",
         "chunk_windows": f"WITH {PIECES} SELECT * FROM pieces",
         "chunk_prev_next": f"""WITH {PIECES}, named AS (SELECT doc_id, ordinal, doc_id || '#' || ordinal AS piece_id FROM pieces)
@@ -285,7 +302,7 @@ def oracle_sql() -> dict[str, str]:
             a AS (SELECT chunk_id, count(*) AS n FROM (SELECT DISTINCT chunk_id, short, long FROM chunks c JOIN of_chunks a ON a.doc_id = c.doc_id WHERE contains(text, short) OR (long <> '' AND contains(text, long))) GROUP BY 1),
             e AS (SELECT chunk_id, count(*) AS n FROM (SELECT DISTINCT chunk_id, surface FROM chunks c JOIN (SELECT DISTINCT doc_id, surface FROM kept) e ON e.doc_id = c.doc_id WHERE contains(lower(c.text), lower(surface))) GROUP BY 1)
             SELECT chunk_id, doc_id, coalesce(a.n, 0) AS n_acronyms, coalesce(e.n, 0) AS n_entities FROM chunks LEFT JOIN a USING (chunk_id) LEFT JOIN e USING (chunk_id)""",
-        "replace_doc_chunks": f"""WITH {SECTIONS}, {CHUNKS}, new AS (SELECT doc_id, header_path, text FROM texts WHERE text <> '')
+        "replace_doc_chunks": f"""{SPLIT(1024, 20)}, {CHUNKS}, new AS (SELECT doc_id, header_path, text FROM split)
             SELECT doc_id, header_path, text FROM chunks c WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.doc_id = c.doc_id) UNION ALL SELECT * FROM new""",
         "chunk_graph_edges": f"""WITH {CHUNKS}, members AS (SELECT DISTINCT chunk_id, coalesce(nullif(e.qid, ''), nullif(e.rdf_safe, '')) AS entity FROM (SELECT chunk_id, unnest(entities) AS e FROM chunks))
             {shared_edges('members', 'chunk_id')}""",

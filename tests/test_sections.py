@@ -1,6 +1,6 @@
 import pytest
 
-from corpuscle.operators import ordered, sections, windows
+from corpuscle.operators import ordered, sections, splitting, windows
 
 SCHEMA = "doc_id bigint, pos int, type string, text string, text_level int, table_body string"
 TABLE = "<table><tr><td>Cell 1</td><td>Cell 2</td></tr></table>"
@@ -80,3 +80,55 @@ def test_batches_and_budgets(spark):
     assert got == [(0, 3), (0, 3), (1, 5), (2, 9), (3, 1)]
     kept = windows.within_budget(data.withColumn("n", F.size(F.split("item", " "))), "k", [F.col("position")], "n", 11)
     assert sorted(r.position for r in kept.collect()) == [0, 1]
+
+
+def greedy(units, counts, size, overlap):
+    """Chunks as (first, after last) by a plain loop."""
+    out, s = [], 0
+    while s < len(units):
+        e = s
+        while e < len(units) and sum(counts[s : e + 1]) <= size:
+            e += 1
+        out.append((s, e))
+        if e == len(units):
+            return out
+        s = next(k for k in range(s + 1, e + 1) if sum(counts[k:e]) <= overlap and sum(counts[k : e + 1]) <= size)
+    return out
+
+
+@pytest.mark.parametrize(("size", "overlap"), [(7, 3), (5, 0), (30, 10)])
+def test_splitting_against_a_plain_loop(spark, size, overlap):
+    import re
+    from random import Random
+
+    from pyspark.sql import functions as F
+
+    random = Random(size)
+    texts = [" ".join(random.choice(["a", "bb", "ccc.", "d!\n", "\n\n", "3.5", "...........", "x,y", "é?"]) for _ in range(random.randrange(90))) for _ in range(40)]
+    texts += ["", " ", None, "." * 50, "w " * 40, "one", "\n"]
+    split = splitting.sentence_splitter(size, overlap)
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, text string")
+    got = {r.i: (r.units, r.split) for r in frame.select("i", splitting.units(F.col("text"), size).alias("units"), split(F.col("text")).alias("split")).collect()}
+    count = lambda t: len(re.findall(r"\w+|[^\w\s]", t))
+    for i, text in enumerate(texts):
+        if text is None:
+            assert not got[i][1]
+            continue
+        units, chunks = got[i]
+        assert "".join(units) == text and all(count(u) <= size for u in units)
+        want = [text] if count(text) <= size else ["".join(units[a:b]) for a, b in greedy(units, [count(u) for u in units], size, overlap)]
+        assert chunks == [t.strip() for t in want if t.strip()] and all(count(c) <= size for c in chunks)
+
+
+def test_long_sections_are_split(spark):
+    content = rows(spark, header(1, "H"), body("Words of a sentence. " * 600), header(1, "I"), body("short"))
+    got = sections.chunks(content).orderBy("ordinal").collect()
+    assert len(got) == 4 and [r.header_path for r in got] == ["/H/"] * 3 + ["/I/"] and got[0].text.startswith("# H\nWords")
+    assert got[1].text.startswith("Words of a sentence.") and got[1].prev_id == got[0].chunk_id
+    assert sections.chunks(content, lambda t: F_array(t)).count() == 2
+
+
+def F_array(text):
+    from pyspark.sql import functions as F
+
+    return F.array(text)
