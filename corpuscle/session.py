@@ -5,6 +5,7 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -54,11 +55,19 @@ def written_table(df: DataFrame) -> DataFrame:
     Where several parts of a plan read the same rows it takes less room than a checkpoint, and readers take only the columns
     they need. The table is deleted when the driver ends.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    atexit.register(_delete, spark, path)
-    return spark.read.schema(df.schema).parquet(path)
+    return written_tables([df])
+
+
+def written_tables(frames: Iterable[DataFrame]) -> DataFrame:
+    """The rows of all ``frames``, of one schema, written one after the other; see ``written_table``."""
+    path = schema = None
+    for df in frames:
+        if path is None:
+            spark, schema = df.sparkSession, df.schema
+            path = f"{checkpoint_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+            atexit.register(_delete, spark, path)
+        df.write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
 
 
 def _delete(spark: SparkSession, path: str) -> None:
