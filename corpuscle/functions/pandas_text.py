@@ -109,15 +109,16 @@ def parse_answer(answers: pd.Series) -> pd.Series:
 def abbreviations(text: str | None) -> list[tuple[str, str]]:
     """(short, long) pairs as in "long form (SF)" or "SF (the long form)", by the alignment of Schwartz and Hearst (2003)."""
     found: dict[str, str] = {}
-    for m in re.finditer(r"\(([^()]{2,200})\)", text or ""):
+    for m in re.finditer(r"\(([^()]{2,})\)", text or ""):
         inside = m[1].strip()
-        before = text[max(0, m.start() - 400) : m.start()].rstrip()
+        before = text[: m.start()].rstrip()
         if _short(inside):
-            words = re.findall(r"\S+", before)[-min(len(inside) + 5, 2 * len(inside)) :]
+            words = before.rsplit(None, min(len(inside) + 5, 2 * len(inside)))
+            words = words[1:] if len(words) > min(len(inside) + 5, 2 * len(inside)) else words
             if long := _align(inside, " ".join(words)):
                 found.setdefault(inside, long)
-        elif (head := re.search(r"(\S+)$", before)) and _short(head[1]) and (long := _align(head[1], inside)):
-            found.setdefault(head[1], long)
+        elif before and _short(head := before.rsplit(None, 1)[-1]) and (long := _align(head, inside)):
+            found.setdefault(head, long)
     return list(found.items())
 
 

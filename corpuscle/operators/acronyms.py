@@ -30,16 +30,34 @@ def from_answers(answers: DataFrame, key: str = "doc_id", answer: str = "answer"
     return parsed.where("short is not null and short <> ''")
 
 
-def by_model(documents: DataFrame, chat: Chat, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, short, long`` as a model finds them in a text, which is cut to what a prompt may hold."""
+def by_model(documents: DataFrame, chat: Chat, key: str = "doc_id", text: str = "text", most: int = prompts.MOST, shared: int = prompts.SHARED) -> DataFrame:
+    """``key, short, long`` as a model finds them; of one short form the first in the text.
+
+    A text above ``most`` characters is put into several prompts, each with the last ``shared`` characters of the one before.
+    """
     kind = documents.schema[key].dataType.simpleString()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({key: frame[key], "answer": chat([prompts.ACRONYMS + t[: prompts.MOST] for t in frame[text]])})
+            yield pd.DataFrame({key: frame[key], "part": frame["part"], "answer": chat([prompts.ACRONYMS + t for t in frame["piece"]])})
+
+    starts = F.sequence(F.lit(0), F.floor(F.greatest(F.length(text) - shared - 1, F.lit(0)) / (most - shared)).cast("int"))
+    parts = documents.where(F.col(text).isNotNull()).select(key, F.col(text).alias("piece"), F.explode(starts).alias("part"))
+    asked = parts.select(key, "part", F.substring("piece", F.col("part") * (most - shared) + 1, F.lit(most)).alias("piece")).mapInPandas(run, f"{key} {kind}, part int, answer string")
+    found = asked.select(key, "part", F.explode(parse_answer("answer")).alias("short", "long")).where("short is not null and short <> ''")
+    return found.groupBy(key, "short").agg(F.min_by("long", "part").alias("long"))
+
+
+def extracted(documents: DataFrame, chat: Chat | None = None, sections: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
+    """``key, short, long, conflict`` and ``key, long, short`` of documents: what a model finds in their acronym sections goes before what texts explain.
 
-    asked = documents.where(F.col(text).isNotNull()).select(key, text).mapInPandas(run, f"{key} {kind}, answer string")
-    return from_answers(asked, key)
+    ``sections`` has ``key`` and ``text`` (see vectors.joined_texts for sections that were looked up); without a model only
+    what texts explain is taken.
+    """
+    told = cleaned(inline(documents, key, text)).withColumnRenamed(key, "doc_id")
+    asked = cleaned(by_model(sections if sections is not None else documents, chat, key, text)).withColumnRenamed(key, "doc_id") if chat else told.limit(0)
+    both, names = merged(asked, told), inverted(asked, told)
+    return both.withColumnRenamed("doc_id", key), names.withColumnRenamed("doc_id", key)
 
 
 def keepable(acronyms: DataFrame) -> DataFrame:

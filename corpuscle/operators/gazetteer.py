@@ -25,11 +25,13 @@ def vocabulary_patterns(vocabulary: DataFrame) -> DataFrame:
 def scraped(pages: DataFrame, html: str = "html") -> DataFrame:
     """``term, href`` of the vocabulary links of HTML pages: of one term the last link, without its query.
 
-    Links are those of class bc-link into /thesaurus/.
+    Links are those of class bc-link into /thesaurus/, whatever the order of their attributes.
     """
-    link = r'(?is)<a\s[^>]*class="bc-link"[^>]*href="([^"]*/thesaurus/[^"]*)"[^>]*>([^<]*)</a>'
-    both = F.arrays_zip(F.regexp_extract_all(html, F.lit(link), F.lit(1)).alias("href"), F.regexp_extract_all(html, F.lit(link), F.lit(2)).alias("term"))
-    each = pages.select("page_id", F.posexplode(both).alias("at", "x"))
+    anchors = F.regexp_extract_all(html, F.lit(r"(?is)<a\s[^>]*>[^<]*</a>"), F.lit(0))
+    own = lambda a, pattern: F.regexp_extract(a, pattern, 1)
+    read = F.transform(anchors, lambda a: F.struct(own(a, r"(?is)^<a\s[^>]*?\bclass=[\"']([^\"']*)[\"']").alias("class"), own(a, r"(?is)^<a\s[^>]*?\bhref=[\"']([^\"']*)[\"']").alias("href"), own(a, r"(?is)>([^<]*)</a>$").alias("term")))
+    wanted = F.filter(read, lambda x: F.array_contains(F.split(x["class"], r"\s+"), "bc-link") & x["href"].contains("/thesaurus/"))
+    each = pages.select("page_id", F.posexplode(wanted).alias("at", "x"))
     named = each.select(F.struct("page_id", "at").alias("place"), F.trim("x.term").alias("term"), without_query(F.col("x.href")).alias("href"))
     return named.where("term <> ''").groupBy("term").agg(F.max_by("href", "place").alias("href"))
 
@@ -103,3 +105,48 @@ def tagged(documents: DataFrame, tagger, key: str = "doc_id", text: str = "text"
 
     kind = documents.schema[key].dataType.simpleString()
     return documents.where(F.col(text).isNotNull()).select(key, text).mapInPandas(run, f"{key} {kind}, surface string, label string")
+
+
+def located(found: DataFrame, documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, start, length, label, id``: where the words of a tagger's ``surface`` stand in its document; ``id`` is null.
+
+    Each word of a text, with as many after it as the document's longest surface has, meets the surfaces of the document
+    that begin with it.
+    """
+    words = F.regexp_extract_all(F.lower("surface"), F.lit(TOKEN), F.lit(0))
+    named = found.where("surface is not null and label is not null").select(key, "label", words.alias("tokens")).where(F.size("tokens") > 0).distinct()
+    named = named.withColumns({"first": F.get("tokens", F.lit(0)), "length": F.size("tokens")})
+    most = named.groupBy(key).agg(F.max("length").alias("most"))
+    each = tokens(documents, key, text).join(most, key).select(key, "words", "most", F.posexplode("words").alias("start", "first"))
+    runs = each.select(key, "start", "first", F.slice("words", F.col("start") + 1, F.col("most")).alias("run"))
+    return runs.join(named, [key, "first"]).where(F.slice("run", F.lit(1), F.col("length")) == F.col("tokens")).select(key, "start", "length", "label", F.lit(None).cast("string").alias("id"))
+
+
+def recognised(documents: DataFrame, tagger, patterns: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, start, length, label, id`` of a tagger and of patterns together, without overlaps.
+
+    What the tagger found stays, as patterns are applied to a text that is already tagged; of patterns the longest goes first,
+    then the earliest. Of spans of the tagger that overlap, the longest stays. ``patterns`` are those of vocabularies and of
+    the documents' acronyms (with a column ``key`` for patterns of one document only).
+    """
+    seen = resolved(located(tagged(documents, tagger, key, text), documents, key, text), key)
+    if key in patterns.columns:
+        everywhere, own = patterns.where(F.col(key).isNull()).drop(key), patterns.where(F.col(key).isNotNull())
+        local = own.select(key, F.array_join("tokens", " ").alias("surface"), "label", "id")
+        at_home = located(local.select(key, "surface", F.concat_ws("\u0001", "label", "id").alias("label")), documents, key, text)
+        split = F.split("label", "\u0001")
+        ruled = mentions(documents, everywhere, key, text).unionByName(at_home.select(key, "start", "length", split[0].alias("label"), split[1].alias("id")))
+    else:
+        ruled = mentions(documents, patterns, key, text)
+    cover = F.explode(F.sequence(F.col("start"), F.col("start") + F.col("length") - 1)).alias("at")
+    taken = seen.select(key, cover).distinct()
+    free = ruled.select(key, "start", "length", "label", "id", cover).join(taken.withColumn("taken", F.lit(1)), [key, "at"], "left")
+    kept = free.groupBy(key, "start", "length", "label", "id").agg(F.max("taken").alias("taken")).where("taken is null").drop("taken")
+    return seen.unionByName(resolved(kept, key))
+
+
+def spans_as_entities(spans: DataFrame, documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key, surface, label, id, qid`` of spans whose label isn't excluded; the surface is the span's words in lower case."""
+    words = spans.join(tokens(documents, key, text), key)
+    surface = F.array_join(F.slice("words", F.col("start") + 1, F.col("length")), " ")
+    return words.where(~F.col("label").isin(*EXCLUDED)).select(key, surface.alias("surface"), "label", "id", F.lit(None).cast("string").alias("qid"))

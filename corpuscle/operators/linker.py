@@ -15,7 +15,6 @@ from corpuscle.functions.text import cache_key, last_segment, sanitize_entity
 from corpuscle.models import Chat
 from corpuscle.session import cut_lineage
 
-DEPTH = 20
 #: The classes of the knowledge base that an entity of a label may belong to.
 CLASSES = {
     "CARDINAL": ["Q11229"], "DATE": ["Q205892"], "EVENT": ["Q1656682"], "FAC": ["Q13226383", "Q17334923"], "GPE": ["Q6256", "Q3624078"], "LANGUAGE": ["Q34770"], "LAW": ["Q7748"], "LOC": ["Q2221906"], "MONEY": ["Q1368"],
@@ -39,18 +38,18 @@ def exact(wanted: DataFrame, labels: DataFrame) -> DataFrame:
     return wanted.join(best, "name", "left")
 
 
-def closure(edges: DataFrame, child: str = "child", parent: str = "parent", depth: int = DEPTH) -> DataFrame:
-    """``node, ancestor``: every pair joined by up to ``depth`` edges, each node with itself too.
+def closure(edges: DataFrame, child: str = "child", parent: str = "parent") -> DataFrame:
+    """``node, ancestor``: every pair joined by edges, each node with itself too.
 
-    Paths double in each round, so that a hierarchy takes rounds as the logarithm of its depth.
+    Paths double in each round, so that a hierarchy takes rounds as the logarithm of its depth; rounds go on until none is new.
     """
     direct = edges.where(f"{child} is not null and {parent} is not null").select(F.col(child).alias("node"), F.col(parent).alias("ancestor")).distinct()
     nodes = direct.select("node").union(direct.select(F.col("ancestor").alias("node"))).distinct()
     reach = cut_lineage(direct.union(nodes.select("node", F.col("node").alias("ancestor"))).distinct())
-    steps, size = 1, reach.count()
-    while steps < depth:
+    size = reach.count()
+    while True:
         further = reach.join(reach.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("far")), "ancestor").select("node", F.col("far").alias("ancestor"))
-        reach, steps = cut_lineage(reach.union(further).distinct()), steps * 2
+        reach = cut_lineage(reach.union(further).distinct())
         if (now := reach.count()) == size:
             break
         size = now

@@ -23,6 +23,8 @@ PROPERTIES = {"last_modified_date": "dateModified", "pdfurl": "url", "year": "da
 #: The links of a document to listed entities: column of ids, class, predicate.
 LINKS = {"count": ("country", "countryOfOrigin"), "projectid": ("project", "isPartOf"), "trustfund_key": ("trustfund", "funder")}
 
+PREFIXES = {"schema": SCHEMA, "ex": EX, "wd": WD, "rdf": RDF, "rdfs": RDFS}
+
 COLUMNS = ("s", "p", "o", "o_kind", "lang")
 
 
@@ -30,10 +32,13 @@ def _fact(p: str, o: Column, kind: str = "literal", lang: str | None = None) ->
     return F.struct(F.lit(p).alias("p"), o.cast("string").alias("o"), F.lit(kind).alias("o_kind"), F.lit(lang).cast("string").alias("lang"))
 
 
-def facts(rows: DataFrame, subject: Column, made: list[Column]) -> DataFrame:
-    """A triple for each of ``made`` whose object isn't null: one pass over ``rows``, whatever the number of facts."""
-    exploded = rows.select(subject.alias("s"), F.explode(F.array(*made)).alias("f")).select("s", "f.*")
-    return exploded.where("s is not null and o is not null").distinct()
+def facts(rows: DataFrame, subject: Column, made: list[Column], once: bool = True) -> DataFrame:
+    """A triple for each of ``made`` whose object isn't null: one pass over ``rows``, whatever the number of facts.
+
+    Triples are distinct, unless ``once`` is false, as for those that go on into ``union``.
+    """
+    exploded = rows.select(subject.alias("s"), F.explode(F.array(*made)).alias("f")).select("s", "f.*").where("s is not null and o is not null")
+    return exploded.distinct() if once else exploded
 
 
 def union(*graphs: DataFrame) -> DataFrame:
@@ -59,16 +64,16 @@ def class_triples(rows: DataFrame, kind: str, label: str, properties: tuple[str,
     return spark.createDataFrame(made, "s string, p string, o string, o_kind string, lang string")
 
 
-def instance_triples(rows: DataFrame, kind: str, key: str, label: str, extra: dict[str, str] | None = None) -> DataFrame:
+def instance_triples(rows: DataFrame, kind: str, key: str, label: str, extra: dict[str, str] | None = None, once: bool = True) -> DataFrame:
     """Instances of a class: type, name, identifier and one fact for each of ``extra`` (column to property)."""
     named = rows.where(F.col(key).isNotNull() & F.col(label).isNotNull())
     made = [_fact(TYPE, F.lit(EX + kind), "uri"), _fact(NAME, F.nullif(F.col(label), F.lit("")), lang="en"), _fact(IDENTIFIER, F.col(key))]
     made += [_fact(SCHEMA + p, F.col(c)) for c, p in (extra or {}).items()]
-    return facts(named, uri(kind, F.col(key)), made)
+    return facts(named, uri(kind, F.col(key)), made, once)
 
 
-def document_triples(latest: DataFrame) -> DataFrame:
-    return instance_triples(latest, "document", "id", "display_title", PROPERTIES)
+def document_triples(latest: DataFrame, once: bool = True) -> DataFrame:
+    return instance_triples(latest, "document", "id", "display_title", PROPERTIES, once)
 
 
 def subclass_triples(rows: DataFrame, kind: str, value: str) -> DataFrame:
@@ -96,18 +101,19 @@ def country_triples(latest: DataFrame, kb: DataFrame | None = None) -> DataFrame
     return facts(countries, uri("country", F.col("key")), [_fact(TYPE, F.lit(SCHEMA + "Country"), "uri"), _fact(NAME, label, lang="en"), _fact(SCHEMA + "sameAs", F.concat(F.lit(WD), F.col("qid")), "uri")])
 
 
-def listed(latest: DataFrame, column: str, many: bool) -> DataFrame:
+def listed(latest: DataFrame, column: str, many: bool, once: bool = True) -> DataFrame:
     """``id, entity``: a row for each part of a list column, or for the whole value; underscores left at parts' ends go."""
     parts = comma_list(F.col(column)) if many else F.array(F.nullif(F.trim(F.col(column)), F.lit("")))
     each = latest.where("id is not null").select("id", F.explode(parts).alias("entity"))
-    return each.select("id", F.regexp_replace("entity", "^_+|_+$", "").alias("entity")).where("entity <> ''").distinct()
+    parted = each.select("id", F.regexp_replace("entity", "^_+|_+$", "").alias("entity")).where("entity <> ''")
+    return parted.distinct() if once else parted
 
 
-def link_triples(latest: DataFrame, column: str) -> DataFrame:
+def link_triples(latest: DataFrame, column: str, once: bool = True) -> DataFrame:
     """Documents linked with the entities that ``column`` lists (see LINKS)."""
     kind, predicate = LINKS[column]
-    links = listed(latest, column, many=column != "count")
-    return facts(links, uri("document", F.col("id")), [_fact(SCHEMA + predicate, uri(kind, F.col("entity")), "uri")])
+    links = listed(latest, column, many=column != "count", once=False)
+    return facts(links, uri("document", F.col("id")), [_fact(SCHEMA + predicate, uri(kind, F.col("entity")), "uri")], once)
 
 
 def fallback_triples(latest: DataFrame, column: str, graph: DataFrame) -> DataFrame:
@@ -122,12 +128,14 @@ def entity_uri(qid: Column, safe: Column) -> Column:
     return F.when(qid.isNotNull() & (qid != ""), F.concat(F.lit(WD), qid)).otherwise(F.concat(F.lit(f"{EX}entity/"), safe))
 
 
-def entity_triples(mentions: DataFrame) -> DataFrame:
+def entity_triples(mentions: DataFrame, once: bool = True) -> DataFrame:
     """Entities of documents (``doc_id, surface, label, qid, safe``): type, name, label, and the document's mention."""
     usable = mentions.where("surface is not null and surface <> '' and safe is not null and doc_id is not null").withColumn("e", entity_uri(F.col("qid"), F.col("safe")))
-    own = facts(usable, F.col("e"), [_fact(TYPE, F.lit(SCHEMA + "Thing"), "uri"), _fact(NAME, F.col("surface")), _fact(SCHEMA + "additionalType", F.col("label"))])
-    said = facts(usable, uri("document", F.col("doc_id").cast("string")), [_fact(MENTIONS, F.col("e"), "uri")])
-    return union(own, said)
+    made = [_fact(TYPE, F.lit(SCHEMA + "Thing"), "uri"), _fact(NAME, F.col("surface")), _fact(SCHEMA + "additionalType", F.col("label")), _fact(MENTIONS, F.col("e"), "uri")]
+    # the last fact is the document's, all others the entity's: one pass gives both
+    subject = F.when(F.col("f.p") == MENTIONS, uri("document", F.col("doc_id").cast("string"))).otherwise(F.col("e"))
+    exploded = usable.select("doc_id", "e", F.explode(F.array(*made)).alias("f")).select(subject.alias("s"), "f.*").where("o is not null")
+    return exploded.distinct() if once else exploded
 
 
 def chunk_triples(chunks: DataFrame, graph: DataFrame) -> DataFrame:
@@ -174,16 +182,32 @@ def urls(graph: DataFrame) -> DataFrame:
     return ids.join(found, "s").groupBy("identifier").agg(F.min("url").alias("url"))
 
 
-def ntriples(graph: DataFrame) -> DataFrame:
-    """``line`` of N-Triples for each triple."""
+def _literal() -> Column:
     escaped = F.col("o")
     for a, b in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         escaped = F.replace(escaped, F.lit(a), F.lit(b))
-    literal = F.concat(F.lit('"'), escaped, F.lit('"'), F.coalesce(F.concat(F.lit("@"), F.col("lang")), F.lit("")))
-    thing = F.when(F.col("o_kind") == "uri", F.concat(F.lit("<"), F.col("o"), F.lit(">"))).otherwise(literal)
+    return F.concat(F.lit('"'), escaped, F.lit('"'), F.coalesce(F.concat(F.lit("@"), F.col("lang")), F.lit("")))
+
+
+def ntriples(graph: DataFrame) -> DataFrame:
+    """``line`` of N-Triples for each triple."""
+    thing = F.when(F.col("o_kind") == "uri", F.concat(F.lit("<"), F.col("o"), F.lit(">"))).otherwise(_literal())
     return graph.select(F.concat(F.lit("<"), F.col("s"), F.lit("> <"), F.col("p"), F.lit("> "), thing, F.lit(" .")).alias("line"))
 
 
+def turtle(graph: DataFrame, prefixes: dict[str, str] = PREFIXES) -> DataFrame:
+    """``line`` of Turtle for each triple, with names of ``prefixes`` where their rest is of letters, digits and underscores."""
+
+    rest = lambda value, base: F.substring(value, len(base) + 1, 2**31 - 1)
+
+    def named(value: Column) -> Column:
+        short = [F.when(value.startswith(base) & rest(value, base).rlike("^[A-Za-z0-9_]+$"), F.concat(F.lit(f"{name}:"), rest(value, base))) for name, base in prefixes.items()]
+        return F.coalesce(*short, F.concat(F.lit("<"), value, F.lit(">")))
+
+    thing = F.when(F.col("o_kind") == "uri", named(F.col("o"))).otherwise(_literal())
+    return graph.select(F.concat(named(F.col("s")), F.lit(" "), named(F.col("p")), F.lit(" "), thing, F.lit(" .")).alias("line"))
+
+
 def pivoted(graph: DataFrame, predicates: dict[str, str]) -> DataFrame:
     """``s`` and a column for each of ``predicates`` (name to predicate): the smallest object, or null."""
     wanted = graph.where(F.col("p").isin(*predicates.values()))

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuscle.models import Embedder, hashed_embedding
+from corpuscle.models import Chat, Embedder, hashed_embedding
 from corpuscle.session import written_tables
 
 #: Queries of a block, and vectors that meet them at once.
@@ -132,6 +132,29 @@ def prompts(contexts: DataFrame, questions: DataFrame) -> DataFrame:
     return both.select("query_id", F.concat(F.lit("Context:\n"), F.col("context"), F.lit("\n\nQuestion: "), F.col("question"), F.lit("\nAnswer:")).alias("prompt"))
 
 
+def tree_summarised(found: DataFrame, texts: DataFrame, chat: Chat, fan: int = 4) -> DataFrame:
+    """``query_id, answer``: the texts of what each query found, ``fan`` at a time made one by ``chat``, until one is left.
+
+    A query has as many texts as it found vectors.
+    """
+    parts = F.array_sort(F.collect_list(F.struct("rank", "vec_id", "text")))
+    grouped = found.join(texts.select("vec_id", "text"), "vec_id").groupBy("query_id").agg(parts.alias("parts")).select("query_id", F.transform("parts", lambda p: p["text"]).alias("texts"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            levels = [list(t) for t in frame["texts"]]
+            while True:
+                asked = [(i, "\n\n".join(x for x in level[at : at + fan] if x is not None)) for i, level in enumerate(levels) for at in range(0, len(level), fan)]
+                levels = [[] for _ in levels]
+                for (i, _), answer in zip(asked, chat([text for _, text in asked]), strict=True):
+                    levels[i].append(answer)
+                if max(map(len, levels), default=0) <= 1:
+                    break
+            yield pd.DataFrame({"query_id": frame["query_id"], "answer": [level[0] for level in levels]})
+
+    return grouped.mapInPandas(run, f"query_id {found.schema['query_id'].dataType.simpleString()}, answer string")
+
+
 def new_only(rows: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     return rows.join(stored.select(key).distinct(), key, "left_anti")
 

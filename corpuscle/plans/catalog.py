@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,13 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions import text as x
 from corpuscle.functions.pandas_text import parse_answer
-from corpuscle.models import leading_sentences
+from corpuscle.models import capitalised_phrases, leading_sentences
 from corpuscle.operators import acronyms, annotate, chat, cograph, gazetteer, linker, metadata, sections, summaries, triples, vectors, windows
 from corpuscle.operators.splitting import sentence_splitter
+from corpuscle.plans import pipeline
+from corpuscle.session import checkpoint_folder, written_table
+from corpuscle.sources import readers, sinks
+from corpuscle.sources.store import Store
 from corpuscle.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,11 +60,6 @@ def sanitize_keys(spark, folder):
 
 @query
 def clean_text(spark, folder):
-    return table(spark, folder, "documents").where("lang in ('en', 'fr', 'es', 'pt')").select("doc_id", x.clean_text(F.col("text")).alias("cleaned"))
-
-
-@query
-def clean_text_all(spark, folder):
     return table(spark, folder, "documents").select("doc_id", x.clean_text(F.col("text")).alias("cleaned"))
 
 
@@ -160,8 +160,12 @@ def fallback_entities(spark, folder):
 
 
 def _graph(spark: SparkSession, folder: str) -> DataFrame:
-    latest = _latest(spark, folder)
-    return triples.union(triples.document_triples(latest), _listed_instances(spark, folder), *(triples.link_triples(latest, c) for c in triples.LINKS), typed_entity_triples(spark, folder))
+    """The whole graph: the latest metadata is found once and read by each producer, and triples are made distinct once."""
+    latest = written_table(_latest(spark, folder))
+    made = [triples.instance_triples(triples.zipped(latest, ids, names), kind, "id", "name", once=False) for ids, names, kind in (("trustfund_key", "trustfund", "trustfund"), ("projectid", "projn", "project"))]
+    links = [triples.link_triples(latest, c, once=False) for c in triples.LINKS]
+    said = triples.entity_triples(gazetteer.with_safe_id(_entities(spark, folder)), once=False)
+    return triples.union(triples.document_triples(latest, once=False), *made, *links, said)
 
 
 @query
@@ -373,21 +377,6 @@ def link_exact(spark, folder):
     return linker.exact(linker.lookups(_entities(spark, folder)), _labels(spark, folder)).select("name_lc", "type_lc", "name", "label", "qid")
 
 
-@query
-def link_cascade(spark, folder):
-    terms = table(spark, folder, "unbis_vocab").select(F.col("id").alias("qid"), F.col("pattern").alias("label"))
-    wanted = linker.lookups(_entities(spark, folder).where("label = 'UNBIS_TERM'")).withColumn("name", x.unaccent(F.col("name")))
-    return linker.cascade(wanted, terms, 2)
-
-
-@query
-def fuzzy_candidates(spark, folder):
-    terms = table(spark, folder, "unbis_vocab").select(F.col("id").alias("qid"), F.col("pattern").alias("label"))
-    wanted = linker.lookups(_entities(spark, folder).where("label = 'UNBIS_TERM'")).withColumn("name", x.unaccent(F.col("name")))
-    found = linker.fuzzy(wanted, terms)
-    return found.withColumns({"rank": F.col("rank").cast("bigint"), "distance": F.col("distance").cast("bigint")})
-
-
 def _all_lookups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Every name to look up, and all that is known: labels of the knowledge base and the vocabulary's terms, which have no accents."""
     name = F.when(F.col("label") == "UNBIS_TERM", x.unaccent(F.col("name"))).otherwise(F.col("name"))
@@ -396,12 +385,12 @@ def _all_lookups(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame
 
 
 @query
-def link_cascade_all(spark, folder):
+def link_cascade(spark, folder):
     return linker.cascade(*_all_lookups(spark, folder), 2)
 
 
 @query
-def fuzzy_candidates_all(spark, folder):
+def fuzzy_candidates(spark, folder):
     found = linker.fuzzy(*_all_lookups(spark, folder))
     return found.withColumns({"rank": F.col("rank").cast("bigint"), "distance": F.col("distance").cast("bigint")})
 
@@ -427,7 +416,7 @@ def link_typed_closure(spark, folder):
 
 
 def _cache(spark: SparkSession, folder: str) -> DataFrame:
-    rows = table(spark, folder, "entities").where("surface is not null and label in ('ORG', 'GPE')")
+    rows = table(spark, folder, "entities").where("surface is not null and label is not null")
     url = F.when(F.col("qid").isNotNull(), F.concat(F.lit(triples.WD), F.col("qid")))
     return rows.groupBy(F.lower("surface").alias("name_lc"), F.lower("label").alias("type_lc")).agg(F.min(url).alias("url"))
 
@@ -476,7 +465,9 @@ def annotate_acronyms(spark, folder):
 def annotated_chunks(spark, folder):
     chunk = _once(table(spark, folder, "chunk"))
     made = annotate.annotated(chunk.select("chunk_id", "doc_id", "text"), acronyms.of_chunks(chunk), _entities(spark, folder))
-    return made.select("chunk_id", "doc_id", F.size("acronyms").cast("bigint").alias("n_acronyms"), F.size("entities").cast("bigint").alias("n_entities"))
+    short = F.transform("acronyms", lambda a: F.struct(F.lit("acronym").alias("kind"), a["short"].alias("said"), a["long"].alias("meant")))
+    names = F.transform("entities", lambda e: F.struct(F.lit("entity").alias("kind"), e["surface"].alias("said"), F.lit(None).cast("string").alias("meant")))
+    return made.select("chunk_id", F.explode(F.concat(short, names)).alias("a")).select("chunk_id", "a.*")
 
 
 @query
@@ -669,5 +660,123 @@ def result_records(spark, folder):
     return joined.select("doc_id", F.coalesce("n_acronyms", F.lit(0)).alias("n_acronyms"), F.coalesce("n_entities", F.lit(0)).alias("n_entities"))
 
 
+# ---- sources and sinks, written and read again -----------------------------------------------------------------------
+
+
+def _place(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def pages_read(spark, folder):
+    """Metadata landed as response pages of 20 records."""
+    numbered = table(spark, folder, "doc_metadata").withColumn("page", F.pmod(F.xxhash64("id", "fetched_at"), F.lit(50)))
+    record = F.struct(*readers.FIELDS)
+    entry = F.struct(F.concat(F.lit("D"), F.monotonically_increasing_id().cast("string")).alias("key"), F.to_json(record).alias("record"))
+    joined = numbered.select("page", entry.alias("e")).groupBy("page").agg(F.array_join(F.collect_list(F.concat(F.lit('"'), F.col("e.key"), F.lit('":'), F.col("e.record"))), ",").alias("all"))
+    path = _place(spark, "pages")
+    # a page is a file, so it has a partition of its own
+    joined.select("page", F.concat(F.lit('{"documents":{'), F.col("all"), F.lit(',"facets":[1]}}')).alias("value")).write.partitionBy("page").text(path)
+    return readers.metadata_pages(spark, path).select(*readers.FIELDS)
+
+
+@query
+def graph_saved(spark, folder):
+    """The documents' graph by load-or-build: built and saved, then loaded."""
+    path = _place(spark, "graph")
+    build = lambda: triples.document_triples(_latest(spark, folder))
+    pipeline.load_or_build(spark, path, build)
+    return pipeline.load_or_build(spark, path, lambda: build().limit(0))
+
+
+@query
+def graph_turtle(spark, folder):
+    """The documents' graph as Turtle with prefixes."""
+    path = _place(spark, "turtle")
+    sinks.save_turtle(triples.document_triples(_latest(spark, folder)), path)
+    return readers.turtle(spark, path)
+
+
+@query
+def vocabulary_saved(spark, folder):
+    path = _place(spark, "vocabulary")
+    sinks.save_vocabulary(table(spark, folder, "unbis_vocab"), path)
+    return readers.vocabulary_file(spark, path)
+
+
+@query
+def table_saved(spark, folder):
+    """Entities written as a CSV table and read again."""
+    path = _place(spark, "csv")
+    sinks.save_csv(_entities(spark, folder).select("entity_id", "label", "qid"), path)
+    return spark.read.csv(path, header=True, schema="entity_id bigint, label string, qid string")
+
+
+@query
+def records_saved(spark, folder):
+    """Chunks' annotations written as JSON lines and read again."""
+    path = _place(spark, "json")
+    sinks.save_json(acronyms.of_chunks(_once(table(spark, folder, "chunk"))), path)
+    return spark.read.json(path, schema="doc_id bigint, short string, long string")
+
+
+@query
+def markdown_saved(spark, folder):
+    """Windows of documents written as Markdown: the numbered headings that are read again."""
+    path = _place(spark, "markdown")
+    sinks.save_markdown(chunk_markdown(spark, folder), path)
+    return spark.read.text(path).where(F.col("value").rlike("^## Chunk [0-9]+$")).groupBy("value").agg(F.count("*").alias("n"))
+
+
+@query
+def store_documents(spark, folder):
+    """The index after a reset, chunks added, and those of some documents added again in place of theirs."""
+    store, chunk = Store(spark, _place(spark, "store")), _once(table(spark, folder, "chunk")).select("chunk_id", "doc_id", "text").where("doc_id is not null and text is not null")
+    store.rebuild(chunk)
+    store.add(chunk.join(chunk.groupBy("doc_id").agg(F.min("chunk_id").alias("chunk_id"), F.count("*").alias("n")).where("n > 3").drop("n"), ["doc_id", "chunk_id"]).select(*chunk.columns))
+    return store.documents()
+
+
+@query
+def store_new_documents(spark, folder):
+    """Documents that are not in the index, which holds those of the chunks."""
+    store = Store(spark, _place(spark, "store"))
+    store.add(_once(table(spark, folder, "chunk")).select("chunk_id", "doc_id", "text").where("doc_id is not null and text is not null"))
+    return store.new(table(spark, folder, "documents").select("doc_id").where("doc_id is not null"))
+
+
+@query
+def metadata_languages(spark, folder):
+    return table(spark, folder, "documents").select("doc_id", readers.language(F.col("lang")).alias("code"))
+
+
+@query
+def same_as_links(spark, folder):
+    """Countries of the graph that are items of the knowledge base."""
+    linked = country_triples(spark, folder).where(F.col("p") == triples.SCHEMA + "sameAs")
+    return linked.where(F.contains("o", F.lit("wikidata.org/entity/"))).select("s", x.last_segment(F.col("o")).alias("qid"))
+
+
+@query
+def tree_summaries(spark, folder):
+    """The texts of each query's three vectors made one in two steps, by a stand-in for a model that keeps 60 characters."""
+    return vectors.tree_summarised(vector_topk(spark, folder), _vector_texts(spark, folder), lambda texts: [t[:60] for t in texts], fan=2)
+
+
+@query
+def extracted_acronyms(spark, folder):
+    """Acronyms that texts explain, as a document's whole extraction gives them."""
+    return acronyms.extracted(table(spark, folder, "documents"))[0]
+
+
+@query
+def recognised_spans(spark, folder):
+    """Spans of the default tagger, of the vocabulary and of each document's acronyms, without overlaps."""
+    documents = table(spark, folder, "documents")
+    listed = gazetteer.vocabulary_patterns(table(spark, folder, "unbis_vocab")).withColumn("doc_id", F.lit(None).cast("bigint"))
+    own = acronyms.of_chunks(_once(table(spark, folder, "chunk"))).select("doc_id", F.lit("ACRONYM").alias("label"), F.array(F.lower("short")).alias("tokens"), F.col("short").alias("id"))
+    return gazetteer.recognised(documents, capitalised_phrases, listed.unionByName(own))
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)

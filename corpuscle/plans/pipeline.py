@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuscle.models import Chat, Embedder, hashed_embedding, leading_sentences
 from corpuscle.operators import acronyms, annotate, cograph, gazetteer, linker, metadata, sections, summaries, triples, vectors
-from corpuscle.session import cut_lineage
+from corpuscle.session import cut_lineage, deleted, exists
+from corpuscle.sources import readers, sinks
 
 
 def build_graph(records: DataFrame, kb: DataFrame | None = None) -> DataFrame:
@@ -24,6 +26,16 @@ def build_graph(records: DataFrame, kb: DataFrame | None = None) -> DataFrame:
     return triples.union(own, *links, *fallbacks)
 
 
+def load_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], rebuild: bool = False, caches: tuple[str, ...] = ()) -> DataFrame:
+    """The graph saved at ``path``; one made by ``build`` and saved there where there is none, or on ``rebuild``, which also deletes ``caches``."""
+    if rebuild:
+        for place in (path, *caches):
+            deleted(spark, place)
+    if not exists(spark, path):
+        sinks.save_graph(build(), path)
+    return readers.ntriples(spark, path)
+
+
 def new_documents(incoming: DataFrame, stored: DataFrame, key: str = "doc_id") -> DataFrame:
     """Those of ``incoming`` that have no chunks in ``stored`` yet."""
     return incoming.join(stored.select(key).distinct(), key, "left_anti")

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-#: The entity types that the linking prompt explains.
-TYPES = {
-    "PERSON": "people, also fictional ones", "NORP": "nationalities, religious or political groups", "FAC": "buildings, airports, roads, bridges", "ORG": "companies, agencies, institutions", "GPE": "countries, cities, states",
-    "LOC": "mountains, waters and other places", "PRODUCT": "things made, vehicles, foods", "EVENT": "named wars, storms, matches", "WORK_OF_ART": "titles of books, songs, pictures", "LAW": "named documents that are law", "LANGUAGE": "named languages",
-    "ACRONYM": "a short form", "CUSTOM": "a name that the document itself declares",
-}
-LINKING = "Give the Wikidata item of each entity below. Types:\n" + "\n".join(f"- {k}: {v}" for k, v in TYPES.items()) + "\nAnswer with a JSON list of [name, type, QID or null, confidence from 1 to 5], one for each entity, and nothing else.\n\n"
+#: The labels of entities.
+TYPES = "PERSON NORP FAC ORG GPE LOC PRODUCT EVENT WORK_OF_ART LAW LANGUAGE DATE TIME PERCENT MONEY QUANTITY ORDINAL CARDINAL UNBIS_TERM ACRONYM CUSTOM".split()
+LINKING = "Give the Wikidata item of each entity below, which is one of the types " + ", ".join(TYPES) + "\nAnswer with a JSON list of [name, type, QID or null, confidence from 1 to 5], one for each entity, and nothing else.\n\n"
 ACRONYMS = "List the acronyms that this text explains, as a JSON object from short to long form, and nothing else.\n\n"
 SUMMARY = "Summarise what these passages have in common in one paragraph.\n\n"
-#: Texts are cut to so many characters before they are put into a prompt.
-MOST = 10_000
+#: A prompt holds so many characters of a text; a longer text is put into several, which overlap by ``SHARED``.
+MOST, SHARED = 10_000, 400

@@ -70,9 +70,24 @@ def written_tables(frames: Iterable[DataFrame]) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    system, place = _place(spark, path)
+    return system.exists(place)
+
+
+def deleted(spark: SparkSession, path: str) -> bool:
+    """Whether there was something at ``path``, which is gone then."""
+    system, place = _place(spark, path)
+    return system.delete(place, True)
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     try:
-        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        deleted(spark, path)
     except Exception:  # the session is gone, and the folder is the cluster's to clean
         pass

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuscle.operators.triples import ntriples
+from corpuscle.operators.triples import PREFIXES, ntriples, turtle
 
 
 def save_graph(graph: DataFrame, path: str) -> None:
@@ -33,7 +36,25 @@ def save_json(rows: DataFrame, path: str) -> None:
     rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.mode("overwrite").text(path)
 
 
-def save_markdown(groups: DataFrame, path: str, key: str = "doc_id") -> None:
-    """The numbered chunks of each document, in a folder of its own."""
-    ordered = groups.repartition(key).sortWithinPartitions(key, "ordinal")
-    ordered.select(key, F.col("text").alias("value")).write.mode("overwrite").partitionBy(key).text(path)
+def save_markdown(groups: DataFrame, path: str, key: str = "doc_id", buckets: int = 256) -> None:
+    """The numbered chunks of documents as lines of Markdown; a document's are in order in one of ``buckets`` folders by its hash."""
+    placed = groups.withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
+    ordered = placed.repartition("bucket").sortWithinPartitions("bucket", key, "ordinal")
+    ordered.select("bucket", F.col("text").alias("value")).write.mode("overwrite").partitionBy("bucket").text(path)
+
+
+def save_vocabulary(vocabulary: DataFrame, path: str) -> None:
+    """A JSON object from terms to links, a file of one; a controlled vocabulary is small."""
+    terms = F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("pattern", "id")))))
+    vocabulary.where("pattern is not null").groupBy("pattern").agg(F.min("id").alias("id")).agg(terms.alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def save_turtle(graph: DataFrame, path: str, prefixes: dict[str, str] = PREFIXES) -> None:
+    """Turtle text with prefixes, replacing what was there; each part begins with the prefixes, so that it is a whole file."""
+    head = "\n".join(f"@prefix {name}: <{uri}> ." for name, uri in prefixes.items())
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": [head]})
+        yield from frames
+
+    turtle(graph, prefixes).withColumnRenamed("line", "value").mapInPandas(run, "value string").write.mode("overwrite").text(path)
