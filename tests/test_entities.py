@@ -106,7 +106,65 @@ def test_names_of_every_label_are_linked(spark, tmp_path):
     rows = [(1, 1, "World Bank", "ORG", "Q1"), (2, 1, "Wrold Bank", "ORG", None), (3, 2, "Kenya", "GPE", "Q2"), (4, 2, "Kenia", "GPE", None), (5, 3, "enérgy", "UNBIS_TERM", None), (6, 3, "Elsewhere", "LOC", None)]
     spark.createDataFrame(rows, "entity_id bigint, doc_id bigint, surface string, label string, qid string").write.parquet(str(tmp_path / "entities.parquet"))
     spark.createDataFrame([("T1", "energy")], "id string, pattern string").write.parquet(str(tmp_path / "unbis_vocab.parquet"))
-    got = {r["name"]: (r.qid, r.how) for r in catalog.link_cascade_all(spark, str(tmp_path)).collect()}
+    got = {r["name"]: (r.qid, r.how) for r in catalog.link_cascade(spark, str(tmp_path)).collect()}
     assert got == {"World Bank": ("Q1", "exact"), "Wrold Bank": ("Q1", "fuzzy"), "Kenya": ("Q2", "exact"), "Kenia": ("Q2", "fuzzy"), "energy": ("T1", "exact"), "Elsewhere": (None, None)}
-    near = {(r["name"], r.qid, r.distance) for r in catalog.fuzzy_candidates_all(spark, str(tmp_path)).collect()}
+    near = {(r["name"], r.qid, r.distance) for r in catalog.fuzzy_candidates(spark, str(tmp_path)).collect()}
     assert near == {("World Bank", "Q1", 0), ("Wrold Bank", "Q1", 2), ("Kenya", "Q2", 0), ("Kenia", "Q2", 1), ("energy", "T1", 0)}
+
+
+def test_tagger_and_patterns_together(spark):
+    from pyspark.sql import functions as F
+
+    documents = spark.createDataFrame([(1, "The Lake Water Board reads on air pollution control and WB air pollution."), (2, "air pollution"), (3, None), (4, "Nothing here.")], "doc_id bigint, text string")
+    tagger = lambda texts: [[("Lake Water Board", "ORG"), ("Water Board", "ORG"), ("pollution control", "LAW")] if "Lake" in t else [] for t in texts]
+    patterns = spark.createDataFrame([(None, "UNBIS_TERM", ["air", "pollution"], "t1"), (None, "UNBIS_TERM", ["pollution"], "t2"), (None, "UNBIS_TERM", ["water"], "t3"), (1, "ACRONYM", ["wb"], "WB"), (2, "ACRONYM", ["on"], "ON")], "doc_id bigint, label string, tokens array<string>, id string")
+    spans = gazetteer.recognised(documents, tagger, patterns)
+    assert sorted((r.doc_id, r.start, r.length, r.label, r.id) for r in spans.collect()) == [(1, 1, 3, "ORG", None), (1, 7, 2, "LAW", None), (1, 10, 1, "ACRONYM", "WB"), (1, 11, 2, "UNBIS_TERM", "t1"), (2, 0, 2, "UNBIS_TERM", "t1")]
+    named = {(r.surface, r.label) for r in gazetteer.spans_as_entities(spans, documents).collect()}
+    assert ("lake water board", "ORG") in named and ("air pollution", "UNBIS_TERM") in named
+    assert gazetteer.recognised(documents.where(F.lit(False)), tagger, patterns.drop("doc_id")).count() == 0
+
+
+def test_acronym_extraction(spark):
+    from corpuscle.operators import acronyms
+
+    text = "x " * 6_000 + "The World Road Fund (WRF) met. " + "y " * 6_000 + "see ABC"
+    documents = spark.createDataFrame([(1, text), (2, None), (3, "plain")], "doc_id bigint, text string")
+    asked = []
+
+    def chat(prompts_):
+        asked.extend(prompts_)
+        return ['{"WRF": "World Rail Fund", "low": "no"}' if "WRF" in p else '{"ABC": "A &amp; BC"}' if "ABC" in p else "none" for p in prompts_]
+
+    both, names = acronyms.extracted(documents, chat)
+    assert sorted((r.short, r.long, r.conflict) for r in both.collect()) == [("ABC", "A & BC", False), ("WRF", "World Rail Fund", True)]
+    assert {r.long: r.short for r in names.collect()} == {"A & BC": "ABC", "World Rail Fund": "WRF", "World Road Fund": "WRF"}
+    assert [tuple(r) for r in acronyms.extracted(documents)[0].collect()] == [(1, "WRF", "World Road Fund", False)]
+    parts = [r.piece for r in documents.where("doc_id = 1").selectExpr("text as piece").collect()]
+    assert len(parts[0]) > 20_000
+
+
+def test_tree_summaries_and_limits(spark):
+    from time import monotonic
+
+    from corpuscle.models import limited
+
+    found = spark.createDataFrame([(1, k, k) for k in range(5)] + [(2, 0, 0)], "query_id bigint, rank bigint, vec_id bigint")
+    texts = spark.createDataFrame([(k, "abcde"[k]) for k in range(5)], "vec_id bigint, text string")
+    got = {r.query_id: r.answer for r in vectors.tree_summarised(found, texts, lambda asked: ["(" + t.replace("\n\n", "+") + ")" for t in asked], 2).collect()}
+    assert got[1] == "(((a+b)+(c+d))+((e)))" and got[2].strip("()") == "a"
+    began = monotonic()
+    assert limited(lambda t: t, calls=1, seconds=0.05)(["a", "b", "c"]) == ["a", "b", "c"] and monotonic() - began >= 0.1
+
+
+def test_links_in_any_order(spark):
+    html = '<a href="/thesaurus/1?x=1" title="t" class="bc-link big">One</a><a class=\'bc-link\' href=\'/thesaurus/2\'> Two </a><a class="other" href="/thesaurus/3">No</a><a class="bc-link" href="/else/4">No</a>'
+    got = {r.term: r.href for r in gazetteer.scraped(spark.createDataFrame([(1, html)], "page_id int, html string")).collect()}
+    assert got == {"One": "/thesaurus/1", "Two": "/thesaurus/2"}
+
+
+def test_long_words_before_a_bracket():
+    from corpuscle.functions.pandas_text import abbreviations
+
+    assert abbreviations("International " + "x" * 600 + " Bank (IXB)") == [("IXB", "International " + "x" * 600 + " Bank")]
+    assert abbreviations("WRF (World " + "r" * 300 + " Fund)") == [("WRF", "World " + "r" * 300 + " Fund")]

@@ -43,7 +43,7 @@ def test_clean_text_and_lists(spark):
 def test_every_document_is_cleaned(spark, tmp_path):
     rows = [(1, "é  a", "en"), (2, "ё\n中 文", "zh"), (3, "b ", None), (4, None, "und"), (5, "Ä", "EN"), (6, "كَتَبَ", "ar"), (7, "ỗ", "en-GB")]
     spark.createDataFrame(rows, "doc_id bigint, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
-    got = {r.doc_id: r.cleaned for r in catalog.clean_text_all(spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.cleaned for r in catalog.clean_text(spark, str(tmp_path)).collect()}
     assert got == {1: "e a", 2: "е 中 文", 3: "b", 4: None, 5: "A", 6: "كتب", 7: "o"}
 
 
