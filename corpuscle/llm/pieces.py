@@ -115,7 +115,8 @@ def sections(content: DataFrame) -> DataFrame:
 
 def _sized(content: DataFrame, above: int) -> DataFrame:
     """``doc_id, pos, section, size`` of the text elements of sections of more than ``above`` characters."""
-    elements = section_elements(content).where("length is not null")
+    # narrow rows, which three steps read
+    elements = written_table(section_elements(content).where("length is not null"))
     # lengths are summed in each stretch first, so that a section of very many elements is no hot key
     lengths = elements.groupBy("doc_id", "stretch", "section").agg(F.sum("length").alias("length"))
     sizes = lengths.groupBy("doc_id", "section").agg(F.sum("length").alias("size")).where(F.col("size") > above)
@@ -135,13 +136,15 @@ def cut_blocks(content: DataFrame, above: int = SIZE_ABOVE, most: int = PIECE, o
     kept = texts.join(_sized(content, above), ["doc_id", "pos"]).dropDuplicates(["doc_id", "pos"])
     blocked = kept.withColumn("block", F.floor((F.col("pos") - F.col("section")) / block))
     grouped = blocked.groupBy("doc_id", "section", "block").agg(F.max("size").alias("size"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("parts"))
-    joined = grouped.select("doc_id", "section", "block", "size", F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text"))
+    joined = written_table(grouped.select("doc_id", "section", "block", "size", F.array_join(F.transform("parts", lambda p: p["text"]), "\n").alias("text")))
     order = Window.partitionBy("doc_id", "section").orderBy("block")
     # one row a block is carried along the section: the end of its text, and its length with the line end after it
     ends = joined.select("doc_id", "section", "block", F.right("text", F.lit(overlap + 1)).alias("tail"), (F.length("text") + 1).alias("length"))
-    offset = F.coalesce(F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    before = ends.select("doc_id", "section", "block", F.coalesce(F.lag("tail").over(order), F.lit("")).alias("before"), offset.alias("offset"))
-    ready = joined.join(before, ["doc_id", "section", "block"]).select("doc_id", "section", "size", "block", "offset", "text", "before")
+    offset = F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    # most sections are one block, which nothing comes before
+    before = ends.select("doc_id", "section", "block", F.lag("tail").over(order).alias("before"), offset.alias("offset")).where("before is not null")
+    told = joined.join(before, ["doc_id", "section", "block"], "left")
+    ready = told.select("doc_id", "section", "size", "block", F.coalesce("offset", F.lit(0)).alias("offset"), "text", F.coalesce("before", F.lit("")).alias("before"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
