@@ -1,4 +1,4 @@
-from collections import defaultdict
+from collections import Counter, defaultdict
 from random import Random
 
 import pytest
@@ -146,3 +146,21 @@ def test_fuzzy_misses_no_pair(spark):
     got = {(r.name, r.qid, r.distance) for r in fuzzy(spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([("q" + v, v) for v in labels], "qid string, label string"), 1000, 2).collect()}
     want = {(n, "q" + v, d) for n in names for v in labels if (d := levenshtein(n, v)) <= 2}
     assert got == want
+
+
+@pytest.mark.parametrize("large", [1_000_000, 1])
+def test_large_communities_are_split_again(spark, large):
+    """A ring of dense groups in denser pairs: what is too large is partitioned as a graph of its own, and a clique stays whole."""
+    pairs = []
+    for g in range(12):
+        pairs += [(10 * g + a, 10 * g + b, 3) for a in range(10) for b in range(a + 1, 10)]
+        pairs += [(10 * g + a, 10 * ((g + 1) % 12) + a, 1) for a in range(5)]
+    clique = [(1_000 + a, 1_000 + b, 1) for a in range(30) for b in range(a + 1, 30)]
+    graph = spark.createDataFrame(pairs + clique, "u bigint, v bigint, weight bigint")
+    sizes = {}
+    for most in (None, 20, 5):
+        found = {r.node: r.community for r in cograph.communities(graph, resolution=0.1, large=large, most=most).collect()}
+        assert len(found) == 150
+        sizes[most] = sorted(Counter(found.values()).values())
+    assert sizes[None].count(30) > 1 and sizes[20][-1] == 30 and all(n <= 20 or n == 30 for n in sizes[20]) and len(sizes[20]) > len(sizes[None])
+    assert cograph.communities(graph.limit(0), large=large).count() == 0
