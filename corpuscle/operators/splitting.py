@@ -73,6 +73,8 @@ def sentence_splitter(size: int = SIZE, overlap: int = OVERLAP, count: Splitter
 
     def split(text: Column) -> Column:
         whole = F.filter(F.array(stripped(text)), lambda t: t != "")
-        return F.when(count(text) <= size, whole).otherwise(packed(units(text, size, count), size, overlap, count))
+        # a word or mark has a character at least, so most texts needn't be counted
+        short = F.length(text) <= size if count is token_count else F.lit(False)
+        return F.when(short, whole).when(count(text) <= size, whole).otherwise(packed(units(text, size, count), size, overlap, count))
 
     return split
