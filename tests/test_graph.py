@@ -62,6 +62,16 @@ def test_edges_against_brute_force(spark, block):
     assert got == want
 
 
+def test_pairs_of_chunks_are_not_shuffled(spark):
+    """A hub makes the square of its members in pairs; those leave the task that counts them only as the result."""
+    members = spark.range(3000).selectExpr("id as chunk_id", "explode(array('hub', concat('e', id % 700))) as entity")
+    graph = cograph.edges(members)
+    assert graph.selectExpr("count(*)", "sum(weight)").first()[:] == (3000 * 2999 // 2, 3000 * 2999 // 2 + 200 * 10 + 500 * 6)
+    assert graph.where("weight = 2 and (v - u) % 700 <> 0 or u >= v").isEmpty()
+    plan = graph._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan[: plan.index("MapInArrow")]
+
+
 def brute_components(pairs):
     of = {}
     for u, v in pairs:
