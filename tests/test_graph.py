@@ -3,7 +3,7 @@ from random import Random
 
 import pytest
 
-from corpuscle.operators import cograph, metadata, triples
+from corpuscle.operators import cocommunities, cograph, metadata, triples
 from corpuscle.operators.linker import closure, fuzzy
 from corpuscle.plans import catalog
 
@@ -132,6 +132,47 @@ def test_chunks_have_components_and_communities(spark, data):
     assert abstracts and abstracts <= set(found.values())
 
 
+def grouped_members(hub: bool = True):
+    """Six groups with values of their own, some mixed, and a value that nearly all have."""
+    random = Random(17)
+    rows = {(n, f"g{n % 6}-{random.randrange(5)}") for n in range(150) for _ in range(2)}
+    rows |= {(random.randrange(150), f"m{random.randrange(12)}") for _ in range(60)} | ({(n, "hub") for n in range(140)} if hub else set())
+    return sorted(rows) + [(500, "alone")]
+
+
+def pairs_of(rows):
+    by, weights = defaultdict(list), Counter()
+    for n, e in rows:
+        by[e].append(n)
+    for nodes in by.values():
+        weights.update((a, b) for a in nodes for b in nodes if a < b)
+    return [(u, v, w) for (u, v), w in weights.items()]
+
+
+@pytest.mark.parametrize(("dense", "heavy", "spread"), [(8_192, 4_000, 20_000_000), (0, 3, 20_000_000), (0, 10_000, 1), (2, 3, 1)])
+def test_communities_from_rows_are_those_of_the_pairs(spark, monkeypatch, dense, heavy, spread):
+    for name, value in (("DENSE", dense), ("HEAVY", heavy), ("SPREAD", spread), ("TASKS", 3)):
+        monkeypatch.setattr(cocommunities, name, value)
+    rows = grouped_members()
+    members = spark.createDataFrame(rows, "chunk_id bigint, entity string")
+    got = {r.node: r.community for r in cocommunities.member_communities(members, most=None).collect()}
+    assert got == cograph.partition(pairs_of(rows)) and len(set(got.values())) > 2
+
+
+def test_large_communities_from_rows_are_split_again(spark, monkeypatch):
+    rows = grouped_members()
+    members = spark.createDataFrame(rows, "chunk_id bigint, entity string")
+    found = {}
+    for large in (100_000, 10):
+        monkeypatch.setattr(cocommunities, "LARGE", large)
+        found[large] = {r.node: r.community for r in cocommunities.member_communities(members, most=8).collect()}
+    assert found[10] == found[100_000] and set(found[10]) == {n for n, e in rows if e != "alone"}
+    whole = cograph.partition(pairs_of(rows))
+    assert len(set(found[10].values())) > len(set(whole.values()))
+    assert all(whole[n] == whole[c] and c == min(m for m in found[10] if found[10][m] == c) for n, c in found[10].items())
+    assert cocommunities.member_communities(members.limit(0)).count() == 0
+
+
 def test_closure(spark):
     edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(9)] + [("x", "n3"), ("c1", "c2"), ("c2", "c1"), (None, "n1")], "child string, parent string")
     got = {(r.node, r.ancestor) for r in closure(edges).collect()}
