@@ -151,7 +151,7 @@ def pairs_of(rows):
 
 @pytest.mark.parametrize(("dense", "heavy", "spread"), [(8_192, 4_000, 20_000_000), (0, 3, 20_000_000), (0, 10_000, 1), (2, 3, 1)])
 def test_communities_from_rows_are_those_of_the_pairs(spark, monkeypatch, dense, heavy, spread):
-    for name, value in (("DENSE", dense), ("HEAVY", heavy), ("SPREAD", spread), ("TASKS", 3)):
+    for name, value in (("DENSE", dense), ("HEAVY", heavy), ("HEAVY_SHARE", 0), ("SPREAD", spread), ("TASKS", 3)):
         monkeypatch.setattr(cocommunities, name, value)
     rows = grouped_members()
     members = spark.createDataFrame(rows, "chunk_id bigint, entity string")
