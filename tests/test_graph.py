@@ -173,6 +173,15 @@ def test_large_communities_from_rows_are_split_again(spark, monkeypatch):
     assert cocommunities.member_communities(members.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["communities", "chunk_community_context", "chunk_community_texts", "chunk_community_triples", "chunk_community_docs_new", "community_summaries"])
+def test_chunk_communities_make_no_pairs(spark, data, monkeypatch, name):
+    def pairs(*_):
+        raise AssertionError("pairs of chunks are made")
+
+    monkeypatch.setattr(cograph, "edges", pairs)
+    assert catalog.REGISTRY[name](spark, data).limit(1).count() <= 1
+
+
 def test_closure(spark):
     edges = spark.createDataFrame([(f"n{i}", f"n{i + 1}") for i in range(9)] + [("x", "n3"), ("c1", "c2"), ("c2", "c1"), (None, "n1")], "child string, parent string")
     got = {(r.node, r.ancestor) for r in closure(edges).collect()}
