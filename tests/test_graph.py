@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 from random import Random
 
+import pyarrow as pa
 import pytest
 
 from corpuscle.operators import cocommunities, cograph, metadata, triples
@@ -72,6 +73,32 @@ def test_pairs_of_chunks_are_not_shuffled(spark):
     assert "Aggregate" not in plan[: plan.index("MapInArrow")]
 
 
+@pytest.mark.parametrize("same", [False, True])
+def test_pairs_of_two_blocks_over_many_batches(monkeypatch, same):
+    """Each pair of nodes comes once, with all values it shares, though only narrower values are counted and batches are small."""
+    monkeypatch.setattr(cograph, "ROWS_OUT", 7)
+    random = Random(23)
+    left = {(random.randrange(40) * (1 if same else 2), f"e{random.randrange(5) * random.randrange(5)}") for _ in range(90)}
+    right = left if same else {(random.randrange(40) * 2 + 1, f"e{random.randrange(5) * random.randrange(5)}") for _ in range(90)}
+
+    def packed(members, prefix=""):
+        by = defaultdict(list)
+        for n, e in members:
+            by[e].append(n)
+        columns = {"names": [*by], "sizes": [len(x) for x in by.values()], "nodes": [n for x in by.values() for n in x]}
+        return {prefix + k: pa.array([v])[0] for k, v in columns.items()}
+
+    batches = list(cograph._block_pairs(packed(left) | packed(right, "right_"), same))
+    got = [(*sorted((r["u"], r["v"])), r["weight"]) for b in batches for r in b.to_pylist()]
+    by, other = defaultdict(set), defaultdict(set)
+    for members, of in ((left, by), (right, other)):
+        for n, e in members:
+            of[n].add(e)
+    want = [(min(a, b), max(a, b), len(by[a] & other[b])) for a in by for b in other if by[a] & other[b] and (a < b or not same)]
+    assert sorted(got) == sorted(want) and len(batches) > 2
+    assert all(r["u"] < r["v"] for b in batches for r in b.to_pylist())
+
+
 def brute_components(pairs):
     of = {}
     for u, v in pairs:
