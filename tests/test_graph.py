@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 from random import Random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -186,6 +187,56 @@ def test_communities_from_rows_are_those_of_the_pairs(spark, monkeypatch, dense,
     assert got == cograph.partition(pairs_of(rows)) and len(set(got.values())) > 2
 
 
+@pytest.mark.parametrize("dense", [8_192, 0])
+def test_nodes_come_in_by_shares(spark, monkeypatch, dense):
+    """However the graph is given, a few nodes are there first, and at the end none gains by a move of its own."""
+    monkeypatch.setattr(cograph, "FIRST", 9)
+    monkeypatch.setattr(cocommunities, "DENSE", dense)
+    rows = grouped_members()
+    pairs = pairs_of(rows)
+    found = cograph.partition(pairs)
+    members = spark.createDataFrame(rows, "chunk_id bigint, entity string")
+    assert {r.node: r.community for r in cocommunities.member_communities(members, most=None).collect()} == found
+    graph = spark.createDataFrame(pairs, "u bigint, v bigint, weight bigint")
+    assert {r.node: r.community for r in cograph.communities(graph, large=1, most=None).collect()} == found
+    total, k, between = 2 * sum(w for *_, w in pairs), Counter(), Counter()
+    for a, b, w in pairs:
+        k.update({a: w, b: w})
+        between.update({(a, found[b]): w, (b, found[a]): w})
+    volume = Counter()
+    for n, c in found.items():
+        volume[c] += k[n]
+    alone = sum(-(k[n] ** 2) for n in found) / total**2
+    assert sum(between[n, found[n]] / total - 1.25 * k[n] * volume[found[n]] / total**2 for n in found) > 1.25 * alone
+    names = np.arange(1_000)
+    shares = list(cograph.arrivals(names, 42, 0))
+    assert shares[0][0].sum() < 30 and not any((a & b).any() for a, b in shares)
+    assert all((a[0] | a[1]).sum() == b[0].sum() for a, b in zip(shares, shares[1:], strict=False)) and (shares[-1][0] | shares[-1][1]).all()
+
+
+@pytest.mark.parametrize("level", [0, 1])
+def test_nodes_that_may_gain_are_looked_at(level):
+    """Looks that are left out change nothing, and a graph is looked at whole only once."""
+    random = Random(29)
+    rows = sorted({(n, n % 8 if random.random() < 0.7 else random.randrange(40)) for n in range(400) for _ in range(4)})
+    node, value = np.array(rows).T
+    x = np.ones(len(rows)) if level == 0 else np.array([random.randint(1, 4) for _ in rows], float)
+    g = cocommunities._Level(np.arange(400), node, np.unique(value, return_inverse=True)[1], x, 1.25)
+    looked = []
+
+    def search(g, s, nodes):
+        looked.append(len(nodes))
+        assert s.key.tolist() == cocommunities._Labels.of(g, s.own).key.tolist() and s.count.tolist() == cocommunities._Labels.of(g, s.own).count.tolist()
+        return cocommunities._here(g, s, nodes)
+
+    own = cocommunities._moved(g, 42, level, search)
+    assert sum(looked) < len(looked) * g.n / 2 and 3 < len(set(own.tolist())) < 400
+    s, every = cocommunities._Labels.of(g, own), np.arange(g.n)
+    best, score = cocommunities._here(g, s, every)
+    gain = score - (s.inside(g, every) - 1.25 * g.k / g.total * (s.volume[own] - g.k))
+    assert not (gain > cograph.LEAST * g.k).any()
+
+
 def test_large_communities_from_rows_are_split_again(spark, monkeypatch):
     rows = grouped_members()
     members = spark.createDataFrame(rows, "chunk_id bigint, entity string")
