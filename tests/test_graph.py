@@ -1,3 +1,4 @@
+import tracemalloc
 from collections import Counter, defaultdict
 from random import Random
 
@@ -237,6 +238,32 @@ def test_nodes_that_may_gain_are_looked_at(level):
     assert not (gain > cograph.LEAST * g.k).any()
 
 
+@pytest.mark.parametrize("wide", [1, 60, 17_000])
+def test_dense_looks_sum_narrow_whole_numbers(wide):
+    """Few communities are looked at in lines of narrow whole numbers, which take no more room than their sums need, and none overflows."""
+    random = Random(31)
+    rows = sorted({(n, random.randrange(400)) for n in range(2_000) for _ in range(4)})
+    node, value = np.array(rows).T
+    g = cocommunities._Level(np.arange(2_000), node, value, np.ones(len(rows)), 1.25)
+    s = cocommunities._Labels.of(g, np.arange(2_000) % 100)
+    s.count *= wide
+    every = np.arange(g.n)
+    tracemalloc.start()
+    best, score = cocommunities._best_of_all(g, s, every)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3_000_000
+    shared = np.zeros((g.n, 100))
+    counts = np.zeros((g.n_values, 100))
+    counts[s.key // g.n, s.c] = s.count
+    for n, v in rows:
+        shared[n] += counts[v]
+    gains = shared - g.share[:, None] * s.volume[:100]
+    gains[every, s.own] = -np.inf
+    gains[shared <= 0] = -np.inf
+    assert (gains.max(1) == score).all() and (gains.argmax(1) == best).all()
+
+
 def test_large_communities_from_rows_are_split_again(spark, monkeypatch):
     rows = grouped_members()
     members = spark.createDataFrame(rows, "chunk_id bigint, entity string")

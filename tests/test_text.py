@@ -1,3 +1,5 @@
+import re
+import tracemalloc
 import urllib.parse
 
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 
 from corpuscle.functions import pandas_text as p
 from corpuscle.functions import text as x
+from corpuscle.models import leading_sentences
 from corpuscle.plans import catalog
 
 
@@ -86,3 +89,22 @@ def test_abbreviations():
 def test_abbreviations_never_fail(text):
     for short, long in p.abbreviations(text + " (AB) x"):
         assert len(long) > len(short)
+
+
+@given(st.text("ab.!? \n", max_size=80), st.integers(-1, 40))
+def test_leading_sentences_are_those_of_the_whole_text(text, most):
+    kept = ""
+    for sentence in re.split(r"(?<=[.!?])\s+", text.strip()):
+        if kept and len(kept) + len(sentence) > most:
+            break
+        kept = f"{kept} {sentence}".strip()
+    assert leading_sentences([text], most) == [kept[: max(most, 0)]]
+
+
+def test_leading_sentences_read_no_more_than_they_keep():
+    text = "Some words. " * 20_000
+    tracemalloc.start()
+    leading_sentences([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * len(text)
